@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelode.llm import duplicates, percentiles
+from pricelode.llm import duplicates, packing, percentiles, tokens
 from pricelode.session import table
 
 # How each column of offers counts when records are compared; the rest do not.
@@ -77,3 +77,23 @@ SQL["p2_found"] = f"""
 WITH k AS (SELECT offer_seq, {_FIELDS} FROM offers), g AS (SELECT offer_seq, min(offer_seq) OVER (PARTITION BY {_KEYS}) AS keep FROM k)
 SELECT keep AS keep_seq, offer_seq AS copy_seq FROM g WHERE keep <> offer_seq"""
 SQL["p2_copies"] = f"SELECT keep_seq AS offer_seq, count(*) + 1 AS copies FROM ({SQL['p2_found']}) GROUP BY ALL"
+
+
+def p8_ids(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, ids: the tokens of every text."""
+    return tokens.token_ids(table(spark, root, "documents"), "doc_id", F.col("text"))
+
+
+def p9_containers(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, piece, from_token, n_tokens, container, place: every text in containers of 2,048 tokens."""
+    counts = tokens.token_counts(table(spark, root, "documents"), "doc_id", F.col("text"))
+    return packing.fill_containers(counts, "doc_id", "n_tokens", 2048)
+
+
+def p9_fill(spark: SparkSession, root: str) -> DataFrame:
+    """containers, tokens, room (share of all containers' capacity that is unused), least: how full the containers are."""
+    each = p9_containers(spark, root).groupBy("container").agg(F.sum("n_tokens").alias("fill"))
+    return each.agg(F.count("*").alias("containers"), F.sum("fill").alias("tokens"), F.round(1 - F.sum("fill") / F.count("*") / 2048, 6).alias("room"), F.ceil(F.sum("fill") / 2048).alias("least"))
+
+
+QUERIES |= {f.__name__: f for f in (p8_ids, p9_containers, p9_fill)}
