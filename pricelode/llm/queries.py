@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelode.llm import duplicates, packing, percentiles, tokens
+from pricelode.llm import duplicates, packing, percentiles, sentences, tokens
 from pricelode.session import table
 
 # How each column of offers counts when records are compared; the rest do not.
@@ -97,3 +97,11 @@ def p9_fill(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p8_ids, p9_containers, p9_fill)}
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, sent_start, sent_end: the sentence units of every text."""
+    return sentences.sentence_units(table(spark, root, "documents"), "doc_id", F.col("text"))
+
+
+QUERIES |= {"p10_found": p10_found}
