@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 # Spellings of units, folded to lower case without a closing point. The first of each line is the unit.
 SPELLINGS = {
     "mg": ["mg"],
-    "g": ["g", "gr", "gram", "grams", "gramm", "gramů", "gramov"],
+    "g": ["g", "gr", "gram", "grams", "gramm", "gramů", "gramu", "gramov"],
     "dkg": ["dkg", "dag", "deka"],
     "kg": ["kg", "kilo", "kilogram"],
     "ml": ["ml", "mililitr", "mililiter", "milliliter"],
     "cl": ["cl"],
     "dl": ["dl"],
-    "l": ["l", "ltr", "liter", "litr", "litre", "litrů"],
-    "ks": ["ks", "kus", "kusy", "kusů", "kusov", "szt", "sztuk", "sztuka", "sztuki", "stk", "st", "stück", "stuck", "pcs", "pc"],
+    "l": ["l", "ltr", "liter", "litr", "litre", "litrů", "litru"],
+    "ks": ["ks", "kus", "kusy", "kusů", "kusu", "kusov", "szt", "sztuk", "sztuka", "sztuki", "stk", "st", "stück", "stuck", "pcs", "pc"],
 }
 
 # Conversions as edges (from, to, factor, offset): to = from * factor + offset.
