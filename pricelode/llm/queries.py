@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelode.llm import duplicates, packing, percentiles, sentences, tokens
+from pricelode.llm import duplicates, packing, percentiles, products, sentences, tokens
 from pricelode.session import table
 
 # How each column of offers counts when records are compared; the rest do not.
@@ -105,3 +105,24 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES |= {"p10_found": p10_found}
+
+
+def _grouped(spark: SparkSession, root: str) -> DataFrame:
+    known = products.catalogue_wordings(table(spark, root, "catalogue"))
+    learned = products.learned_wordings(table(spark, root, "offers"), "title", "market", "ingredient_id", known)
+    return products.group_listings(table(spark, root, "listings"), "listing_id", known + learned)
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    """listing_a, listing_b: every two listings of one product."""
+    return products.pairs(_grouped(spark, root)).select(F.col("a").alias("listing_a"), F.col("b").alias("listing_b"))
+
+
+def p3_products(spark: SparkSession, root: str) -> DataFrame:
+    """listing_id, product, listings: the product of each listing and how many listings it has."""
+    grouped = _grouped(spark, root)
+    sizes = grouped.groupBy("product").agg(F.count("*").alias("listings"))
+    return grouped.join(sizes, "product").select(F.col("id").alias("listing_id"), "product", "listings")
+
+
+QUERIES |= {"p3_found": p3_found, "p3_products": p3_products}
