@@ -275,13 +275,13 @@ class Classifier:
         return [self.known[c] for c in contexts]
 
     @staticmethod
-    def fit(contexts: list[Context], labels: np.ndarray, counts: np.ndarray, passes: int = 12, rate: float = 0.3, decay: float = 1e-5) -> Classifier:
-        """Adagrad on the weighted logistic loss, in batches of a fixed order."""
+    def fit(rows: np.ndarray, labels: np.ndarray, counts: np.ndarray, passes: int = 12, rate: float = 0.3, decay: float = 1e-5) -> Classifier:
+        """Adagrad on the weighted logistic loss of rows of hashed features, in batches of a fixed order."""
         weights, squares = np.zeros(WEIGHTS), np.full(WEIGHTS, 1e-6)
         bias = 0.0
-        if not len(contexts):
+        if not len(rows):
             return Classifier(weights.astype(np.float32), 0.0)
-        rows, importance = _hashed(contexts), np.sqrt(counts)
+        importance = np.sqrt(counts)
         random = np.random.default_rng(7)
         for _ in range(passes):
             order = random.permutation(len(rows))
@@ -397,8 +397,21 @@ def train(frame: DataFrame, text: Column, sample: int = SAMPLE) -> Classifier:
     """
     given = frame.select(text.alias("text")).where("text is not null")
     contexts = checkpointed(_spread(given).mapInArrow(_gather, f"kind string, {FIELDS}, n bigint").groupBy("kind", *Context._fields).agg(F.sum("n").alias("n")))
-    chosen = _labelled(contexts).withColumn("h", F.xxhash64(*Context._fields, "label")).orderBy("h", *Context._fields).limit(sample).toPandas()
-    return Classifier.fit([Context(*row) for row in chosen[list(Context._fields)].itertuples(index=False)], chosen.label.to_numpy(float), chosen.n.to_numpy(float))
+    keyed = _labelled(contexts).select(*Context._fields, F.xxhash64(*Context._fields, "label").alias("h"), "label", "n")
+    hashed = keyed.mapInArrow(_hash_batches, "h bigint, label double, n bigint, f array<int>")
+    chosen = hashed.orderBy("h", "f", "label", "n").limit(sample).toArrow()
+    rows = chosen.column("f").combine_chunks()
+    return Classifier.fit(rows.values.to_numpy().reshape(len(rows), -1) if len(rows) else np.zeros((0, 0), np.int32), chosen.column("label").to_numpy(), chosen.column("n").to_numpy().astype(float))
+
+
+def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts to rows of hashed features, so that what reaches the driver is a few numbers a row."""
+    width = len(Context._fields)
+    for batch in batches:
+        if batch.num_rows:
+            rows = _hashed([Context(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(width)))])
+            offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(width), batch.column(width + 1), batch.column(width + 2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))], ["h", "label", "n", "f"])
 
 
 def _spread(frame: DataFrame) -> DataFrame:
