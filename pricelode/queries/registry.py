@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelode.queries import problems
+from pricelode.queries import problems, reference
 
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+QUERIES = {**problems.QUERIES, **reference.QUERIES}
+SQL = {**problems.SQL, **reference.SQL}
