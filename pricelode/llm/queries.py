@@ -48,7 +48,7 @@ def p7_by_day(spark: SparkSession, root: str) -> DataFrame:
     return _wide(percentiles.percentiles(_readings(spark, root), ["ingredient_id", "store"], F.col("czk_per_kg"), list(FRACTIONS.values()), share=F.col("observed_on")))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_copies, p7_percentiles, p7_by_day)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_copies, p7_by_day, p7_percentiles)}
 
 SQL = {
     "p7_percentiles": f"""
