@@ -21,14 +21,14 @@ class SpikeRule:
 
     reach: observations on each side that make up the level. longest: rows that may be off together and still be a spike.
     scatters: distance from the level, in scatters of the source (1.4826 x median absolute deviation of logarithms), from
-    which a row is far off; at least `least` (a logarithm: 0.3 is a third more). stuck_times and stuck_least: how many
+    which a row is far off; at least `least` (a logarithm: 0.24 is about a quarter more). stuck_times and stuck_least: how many
     times the source's usual run, and how many observations, a run of one value must have.
     """
 
     reach: int = 5
     longest: int = 3
     scatters: float = 4.75
-    least: float = 0.3
+    least: float = 0.24
     stuck_times: float = 3.0
     stuck_least: int = 8
 
