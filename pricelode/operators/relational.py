@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelode.session import checkpointed
+
 
 def top_per_group(frame: DataFrame, by: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first n rows of each group in an order that has no ties. Spark prunes each task's rows to n a group before the shuffle."""
@@ -58,3 +60,15 @@ def carry_forward(today: DataFrame, previous: DataFrame, keys: list[str], as_of:
     gone = previous.join(today.select(*keys), keys, "left_anti").withColumn("age", F.datediff(as_of, F.col("seen")))
     fresh = today.select(*keys, "value", as_of.alias("seen"), F.lit(0).alias("age"), F.lit("fresh").alias("state"))
     return fresh.unionByName(gone.select(*keys, "value", "seen", "age", F.when(F.col("age") <= max_age, "carried").otherwise("dropped").alias("state")))
+
+
+def numbered(frame: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """`frame` with each row's place (BIGINT from 1) in an order without ties, over all rows.
+
+    Rows are sorted by range, so every task numbers its own; what is added to them is the rows of the tasks before, a table
+    with one row a task, which is small enough to broadcast.
+    """
+    placed = checkpointed(frame.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).withColumn("_task", F.shiftright("_at", 33)))
+    counts = placed.groupBy("_task").agg(F.count("*").alias("_n"))
+    before = counts.select("_task", F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(before), "_task").withColumn(name, F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before") + 1).drop("_at", "_task", "_before")

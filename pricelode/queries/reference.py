@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelode.functions import numbers, text
@@ -246,14 +246,16 @@ def http_log_report(spark, root):
 def reason_histogram(spark, root):
     """Counts in order of count, then key."""
     counts = table(spark, root, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    return counts.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "event_type"))).alias("a")).select(F.posexplode("a").alias("p", "x")).select("x.event_type", (-F.col("x.m")).alias("n"), (F.col("p") + 1).alias("place"))
+    return R.numbered(counts, [F.desc("n"), F.asc("event_type")], "place").select("event_type", "n", "place")
 
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice, coalesce(o_totalprice - following < 10000, false) AS close FROM (SELECT *, row_number() OVER w AS k, lead(o_totalprice) OVER w AS following FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)) WHERE k = 1")
 def ambiguity_margin(spark, root):
     """The best of each group and whether the second is close."""
-    two = table(spark, root, "orders").groupBy("o_custkey").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("o_totalprice")).alias("m"), "o_orderkey"))), 1, 2).alias("t"))
-    return two.select("o_custkey", F.col("t")[0]["o_orderkey"].alias("o_orderkey"), (-F.col("t")[0]["m"]).alias("o_totalprice"), F.coalesce(F.try_element_at("t", F.lit(2))["m"] - F.col("t")[0]["m"] < 10000, F.lit(False)).alias("close"))
+    best = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    two = table(spark, root, "orders").withColumn("k", F.row_number().over(best)).where("k <= 2")
+    following = two.withColumn("following", F.lead("o_totalprice").over(best))
+    return following.where("k = 1").select("o_custkey", "o_orderkey", "o_totalprice", F.coalesce(F.col("o_totalprice") - F.col("following") < 10000, F.lit(False)).alias("close"))
 
 
 @query("SELECT 'bad_date' AS rule, offer_seq FROM offers WHERE valid_to < valid_from UNION ALL SELECT 'no_price', offer_seq FROM offers WHERE price_czk IS NULL OR price_czk <= 0 UNION ALL SELECT 'unknown_item', offer_seq FROM offers WHERE ingredient_id IS NOT NULL AND ingredient_id NOT IN (SELECT id FROM catalogue) UNION ALL SELECT 'no_title', offer_seq FROM offers WHERE trim(coalesce(title, '')) = ''")
@@ -298,3 +300,68 @@ def minor_unit_offers(spark, root):
     regular, club = F.col("price.regular.price_value"), F.col("price.loyalty.price_value")
     both = F.array_compact(F.array(F.struct(F.lit("regular").alias("kind"), (regular / 100).alias("amount")), F.when(club < regular, F.struct(F.lit("club").alias("kind"), (club / 100).alias("amount")))))
     return table(spark, root, "penny_results").select("result_id", F.explode(both).alias("o")).select("result_id", "o.kind", "o.amount").distinct()
+
+
+@query("SELECT offer_seq, market, lower(trim(store)) AS store, coalesce(nullif(trim(unit), ''), 'none') AS unit, coalesce(is_promo, original_price_czk > price_czk, false) AS promo, round(price_czk / CASE market WHEN 'cz' THEN 1 WHEN 'pl' THEN 0.17 ELSE 0.041 END, 6) AS price_home FROM offers")
+def offer_projection(spark, root):
+    """Fields brought to one form; the first that is present wins; prices in one currency."""
+    from pricelode.plans.markets import fx
+
+    return table(spark, root, "offers").select(
+        "offer_seq", "market", F.lower(F.trim("store")).alias("store"), F.coalesce(F.nullif(F.trim("unit"), F.lit("")), F.lit("none")).alias("unit"),
+        F.coalesce("is_promo", F.col("original_price_czk") > F.col("price_czk"), F.lit(False)).alias("promo"), F.round(F.col("price_czk") / fx(F.col("market")), 6).alias("price_home"))
+
+
+@query("SELECT offer_seq, regexp_extract(source_url, '^https?://([^/]+)', 1) AS host, regexp_extract(source_url, '/o/([0-9]+)/', 1) AS outlet, regexp_extract(source_url, '([^/]+)$', 1) AS slug FROM offers")
+def page_fields(spark, root):
+    """Parts of addresses."""
+    parts = {"host": r"^https?://([^/]+)", "outlet": r"/o/([0-9]+)/", "slug": r"([^/]+)$"}
+    return table(spark, root, "offers").select("offer_seq", *[F.regexp_extract("source_url", p, 1).alias(n) for n, p in parts.items()])
+
+
+@query("""SELECT offer_seq, CASE WHEN regexp_matches(lower(title), '(akce|promocja|akcia|aktion)') THEN 'word' WHEN is_promo THEN 'flag' WHEN original_price_czk > price_czk THEN 'price' WHEN coalesce(CAST(raw -> '$.discountPercentage' AS VARCHAR), 'null') <> 'null' THEN 'discount' ELSE 'none' END AS why FROM offers""")
+def promo_flag(spark, root):
+    """The first of ordered signs that a row shows."""
+    discount = F.get_json_object("raw", "$.discountPercentage")
+    return table(spark, root, "offers").select("offer_seq", F.when(F.lower("title").rlike("(akce|promocja|akcia|aktion)"), "word").when(F.col("is_promo"), "flag")
+        .when(F.col("original_price_czk") > F.col("price_czk"), "price").when(discount.isNotNull(), "discount").otherwise("none").alias("why"))
+
+
+def _some_start(q: str):
+    return F.exists("parts", lambda t: t.startswith(q))
+
+
+@query(f"""SELECT id, score FROM (SELECT id, {' + '.join(f"CASE WHEN list_contains(parts, '{q}') THEN 30 WHEN len(list_filter(parts, lambda x: starts_with(x, '{q}'))) > 0 THEN 15 ELSE 0 END" for q in ('syr', 'eid'))} - len(parts) AS score FROM (SELECT id, string_split({_fold_sql("concat_ws(' ', id, name_cs, array_to_string(aliases, ' '))")}, ' ') AS parts FROM catalogue)) WHERE score > 0 ORDER BY score DESC, id LIMIT 10""")
+def catalogue_search(spark, root):
+    """The ten best entries for a search (the limit is the feature): whole words 30, beginnings 15, less one a word."""
+    parts = F.split(text.fold(F.concat_ws(" ", "id", "name_cs", F.array_join("aliases", " "))), " ")
+    score = -F.size("parts")
+    for q in ("syr", "eid"):
+        score = score + F.when(F.array_contains("parts", q), 30).when(_some_start(q), 15).otherwise(0)
+    return table(spark, root, "catalogue").withColumn("parts", parts).select("id", score.alias("score")).where("score > 0").orderBy(F.desc("score"), "id").limit(10)
+
+
+@query("SELECT user_id, n, round(taste, 4) AS taste, place FROM (SELECT *, row_number() OVER (ORDER BY taste DESC, n DESC, user_id) AS place FROM (SELECT user_id, count(*) AS n, CAST(avg(CAST(least(greatest(value, 0), 5) AS DECIMAL(20, 6))) AS DOUBLE) AS taste FROM events GROUP BY ALL HAVING count(value) >= 5))")
+def ratings_rank(spark, root):
+    """Clamped means of users with enough rows, ranked."""
+    clamped = F.least(F.greatest("value", F.lit(0.0)), F.lit(5.0)).cast("decimal(20,6)")
+    means = table(spark, root, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.count("value").alias("k"), F.avg(clamped).cast("double").alias("mean")).where("k >= 5")
+    return R.numbered(means, [F.desc("mean"), F.desc("n"), F.asc("user_id")], "place").select("user_id", "n", F.round("mean", 4).alias("taste"), "place")
+
+
+@query("SELECT l_partkey, min(per) AS low, median(per) AS mid FROM (SELECT l_partkey, l_suppkey, coalesce(min(CASE WHEN l_discount > 0.05 THEN l_extendedprice / l_quantity END), min(l_extendedprice / l_quantity)) AS per FROM lineitem GROUP BY ALL) GROUP BY ALL")
+def effective_price(spark, root):
+    """A deal overrides the regular value of a pair; least and median over a key's pairs."""
+    each = F.col("l_extendedprice") / F.col("l_quantity")
+    pairs = table(spark, root, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.coalesce(F.min(F.when(F.col("l_discount") > 0.05, each)), F.min(each)).alias("per"))
+    return pairs.groupBy("l_partkey").agg(F.min("per").alias("low"), F.median("per").alias("mid"))
+
+
+def leaflet_parse(spark, root):
+    """Attribute and price lines of leaflet pages, read in order of lines."""
+    from pricelode.operators.leaflets import parse_pages
+
+    return parse_pages(table(spark, root, "documents").where("doc_type = 'leaflet_page'").select("doc_id", "text"), "doc_id", F.col("text"))
+
+
+QUERIES["leaflet_parse"] = leaflet_parse
