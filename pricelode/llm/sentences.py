@@ -28,10 +28,10 @@ WEIGHTS = 1 << 18
 #: Occurrences from which a token that never stands at a block's end (start) is taken for one that never ends (starts) a sentence.
 ENOUGH = 20
 
-_LINE = regex.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]")
-_BREAKS = "\n\r\x0b\x0c\x85  "
-_MARKS = regex.compile(rf"[{regex.escape(END_MARKS)}]+(?:[ \xa0]?[…!?]+)?|(?<=[\p{{Greek}}\p{{M}}»\)])[;;]")
-_TOKEN_BEFORE = regex.compile(r"(?r)[\p{L}\p{M}\p{N}‍]+")
+_LINE = regex.compile(r"\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]")
+_BREAKS = "\n\r\x0b\x0c\x85\u2028\u2029"
+_MARKS = regex.compile(rf"[{regex.escape(END_MARKS)}]+(?:[ \xa0]?[…!?]+)?|(?<=[\p{{Greek}}\p{{M}}»\)])[;\u037e]")
+_TOKEN_BEFORE = regex.compile(r"(?r)[\p{L}\p{M}\p{N}\u200d]+")
 _TOKEN_AFTER = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _THAI = regex.compile(r"(?<=[ก-ฺเ-๎])\s+(?=[ก-ฺเ-๎])")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
