@@ -12,7 +12,7 @@ def wrapped_rows(spark: SparkSession, path: str, schema: str, wrappers: tuple[st
     The schema is given, never inferred; a byte order mark is allowed; a file that is neither, or an element that is no
     object, gives no rows.
     """
-    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("text"), F.col("_metadata.file_name").alias("file"))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^\ufeff", "").alias("text"), F.col("_metadata.file_name").alias("file"))
     rows = f"array<struct<{', '.join(schema.split(', '))}>>"
     tries = [F.when(F.ltrim("text").startswith("["), F.from_json("text", rows))] + [F.from_json(F.get_json_object("text", f"$.{w}"), rows) for w in wrappers]
     return text.select(F.regexp_replace("file", r"\.json$", "").alias("source"), F.explode(F.coalesce(*tries)).alias("row")).where("row is not null").select("source", "row.*")
