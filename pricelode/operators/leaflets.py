@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field, fields
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ def page_lines(text: str | None) -> list[tuple[int, str, str, float | None]]:
     """(line, kind, subject, price) of the lines of a page that hold an attribute or a price.
 
     `unit`: "500 g = 99,90 Kč", the price of a size. `price`: a line with a price; its subject is the last line before it
-    that is no attribute and no price, the running title. `item`: a bullet line under that title. Others set the title.
+    that is no attribute and no price, the running title, whole. `item`: a bullet line under that title. Others set the title.
     """
     out: list[tuple[int, str, str, float | None]] = []
     title = ""
@@ -35,7 +37,7 @@ def page_lines(text: str | None) -> list[tuple[int, str, str, float | None]]:
         elif (m := _PRICE.search(stripped)) and not stripped[:m.start()].strip():
             out.append((number, "price", title, float(m[1].replace(",", "."))))
         else:
-            title = stripped[:200]
+            title = stripped
     return out
 
 
@@ -52,3 +54,200 @@ def parse_pages(pages: DataFrame, row: str, text: Column) -> DataFrame:
             yield pd.DataFrame(found, columns=["id", "line_no", "kind", "subject", "price"])
 
     return pages.select(F.col(row).alias("id"), text.alias("text")).mapInPandas(parse, f"id {kind}, {SCHEMA}").withColumnRenamed("id", row)
+
+
+_WORD_UNIT = r"(kg|g|l|ml|ks|kus|kusů|kusy)"
+_MONEY = r"(?:Kč|€|zł)"
+_TOKEN = r"(\d{1,4}(?:[,.]\d\d)?)"
+_UNIT_PRICE = regex.compile(
+    rf"(\d+(?:[,.]\d+)?)\s*{_WORD_UNIT}\s*=\s*(?:od\s*)?{_TOKEN}\s*{_MONEY}(?:\s*(bez Aplikace|s Klubem)\s*/?\s*(?:od\s*)?{_TOKEN}\s*{_MONEY}\s*(?:Aplikace|bez Klubu)?)?", regex.I
+)
+_PACK = regex.compile(rf"^(?:•\s*)?(?:balení,?\s*|cena za\s*|od\s*)?(\d+(?:[,.]\d+)?)(?:\s*[–-]\s*\d+(?:[,.]\d+)?)?\s*{_WORD_UNIT}\b\.?$", regex.I)
+_MULTI_PACK = regex.compile(rf"^(?:•\s*)?(\d+)\s*[x×]\s*(\d+(?:[,.]\d+)?)\s*{_WORD_UNIT}\b", regex.I)
+_BARE = regex.compile(rf"^(\d{{1,4}})(?:,(?:(\d\d)|-))$|^(\d{{1,5}})(?:[,.](\d\d?))?\s*{_MONEY}$", regex.I)
+_OLD = regex.compile(r"^(\d{1,4})(?:,(\d\d)|,-)?/$")
+_CLUB = regex.compile(rf"^•\s*(\d{{1,4}})[,.](\d\d)\s*{_MONEY}$", regex.I)
+_HIGH, _LOW = regex.compile(r"^\d{1,4}$"), regex.compile(r"^\d\d$")
+_DISCOUNT = regex.compile(r"^[–-]\s*(\d{1,2})\s*%$")
+_CONTINUED = regex.compile(rf"^(?:=|bez aplikace|aplikace|s klubem|bez klubu|(?:od\s*)?\d+,\d\d\s*{_MONEY}\s*(?:aplikace|bez klubu))", regex.I)
+_EGGS = regex.compile(r"(?<![a-z])(?:vejce|vajec|vajic|vajíčk|vajick|vajcia|vajíčok|vajc|jaja|jajk|jajec|eier|egg)", regex.I)
+
+# Lines that are no titles, as the reference lists them (Czech leaflets), and the kilograms of an egg.
+_NOISE_STARTS = (
+    "běžná cena", "nepora", "nelze", "více informací", "▼", "cena za 1 ks", "platí", "při koupi", "záloha", "původ", "pouze", "obsah", "nejnižší", "nabídka",
+    "ilustrační", "chcete", "do vyprodání", "více druhů", "vybrané druhy", "vhodné", "ideální", "tip",
+)
+_NOISE_WORDS = set("neporazitelné novinka naše cena ceny super zralé billa albert akce sleva tip bio nové nový nová masa zdarma plus klub".split())
+_EGG_KG = 0.055
+#: Lines that one title may run over; a further one opens the next product.
+TITLE_LINES = 3
+
+
+@dataclass
+class Product:
+    title_lines: list[str] = field(default_factory=list)
+    pack_quantity: float | None = None
+    pack_unit: str | None = None
+    pack_text: str | None = None
+    per_kg: float | None = None
+    per_kg_club: float | None = None
+    unit_text: str | None = None
+    price: float | None = None
+    price_club: float | None = None
+    old_price: float | None = None
+    discount_pct: int | None = None
+    club_first: bool = False
+
+    @property
+    def title(self) -> str:
+        return " ".join(self.title_lines)
+
+
+_PARTS = [f.name for f in fields(Product) if f.name != "title_lines"]
+PRODUCT_SCHEMA = (
+    "product_no int, title string, pack_quantity double, pack_unit string, pack_text string, per_kg double, per_kg_club double, unit_text string, "
+    "price double, price_club double, old_price double, discount_pct int, club_first boolean"
+)
+_ARROW = [{"int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}[part.split()[1]] for part in PRODUCT_SCHEMA.split(", ")]
+
+
+def _number(text: str) -> float:
+    return float(text.replace(",", "."))
+
+
+def _per_kg(price: float, unit: str, quantity: float, title: str) -> float | None:
+    """Litres count as kilograms; pieces have a mass for eggs only."""
+    if quantity <= 0:
+        return None
+    if unit in ("kg", "l"):
+        return price / quantity
+    if unit in ("g", "ml"):
+        return price / quantity * 1000
+    return price / (quantity * _EGG_KG) if _EGGS.search(title) else None
+
+
+def title_line(line: str) -> bool:
+    """a line that may be (a part of) a title: letters enough, no price, no noise, no slogan in capitals."""
+    letters = [c for c in line if c.isalpha()]
+    low = line.lower()
+    if len(letters) < 3 or line.startswith("•") or low.startswith(_NOISE_STARTS) or all(w in _NOISE_WORDS for w in low.split()):
+        return False
+    if any(c.isdigit() for c in line) and (regex.search(_MONEY, line) or "%" in line or regex.search(r"\d,(\d\d|-)", line)):
+        return False
+    return not (sum(c.isupper() for c in letters) > 0.8 * len(letters) and len(letters) > 4) and len(letters) >= 0.5 * len(line)
+
+
+def bad_title(title: str) -> bool:
+    """a title without a word of four letters, of spaced single letters, or that only says 'several kinds'."""
+    words, low = title.split(), title.lower()
+    if not words or title[0].isdigit() or max(map(len, words)) < 4:
+        return True
+    singles = sum(len(w) == 1 for w in words)
+    return singles >= 3 and singles > len(words) / 2 or low in ("více druhů", "druhy", "vybrané druhy") or low.startswith(("více druh", "od ", "z pultu"))
+
+
+def joined_lines(lines: list[str]) -> list[str]:
+    """Fragments go back to the line they continue; a line with bullets inside becomes one line a bullet."""
+    joined: list[str] = []
+    for line in lines:
+        if joined and (_CONTINUED.match(line) or joined[-1].endswith(("=", "/", "bez", "od")) and line[0].isdigit() and not _OLD.match(joined[-1])):
+            joined[-1] += " " + line
+        else:
+            joined.append(line)
+    out: list[str] = []
+    for line in joined:
+        if "•" in line[1:]:
+            out += [f"• {p}" if i else p for i, p in enumerate(part.strip() for part in line.split("•")) if p]
+        else:
+            out.append(line)
+    return out
+
+
+def _assign(group: list[Product], name: str, value: float) -> None:
+    """To the first product of the row group that lacks it, so that the k-th value goes to the k-th product."""
+    for product in group:
+        if getattr(product, name) is None:
+            setattr(product, name, value)
+            return
+
+
+def _assign_pack(group: list[Product], quantity: float, unit: str, text: str) -> None:
+    for product in group:
+        if product.pack_text is None:
+            product.pack_quantity, product.pack_unit, product.pack_text = quantity, _piece(unit), text
+            return
+
+
+def _piece(unit: str) -> str:
+    return "ks" if unit.lower().startswith("kus") else unit.lower()
+
+
+def page_products(text: str | None) -> list[Product]:
+    """Q1: the products of a page. Neighbouring title lines open a row group of products; the k-th pack, unit price, price,
+    old price or discount that follows goes to the k-th product of the group that lacks one; a title after attributes opens
+    the next group. "129" and "90" on two lines are 129.90, and "3490" alone is 34.90. Wider than the reference: a price line
+    may name its currency, € and zł count as Kč does, three digits wait for the two of the next line, and an old price
+    ("199,90/") is not run together with the price below it.
+    """
+    lines = joined_lines([line for raw in (text or "").splitlines() if (line := " ".join(raw.split()))])
+    products: list[Product] = []
+    group: list[Product] = []
+    was_title = False
+    high: str | None = None
+    for line, following in zip(lines, [*lines[1:], ""]):
+        before, high_before = was_title, high
+        was_title, high = False, None
+        if m := _UNIT_PRICE.search(line):
+            target = next((p for p in group if p.per_kg is None and p.per_kg_club is None), None)
+            if target is not None:
+                first, second = (_per_kg(_number(x), _piece(m[2]), _number(m[1]), target.title) if x else None for x in (m[3], m[5]))
+                target.unit_text = m[0]
+                if (m[4] or "").lower().startswith("s klubem"):
+                    target.per_kg_club, target.per_kg, target.club_first = first, second, True
+                else:
+                    target.per_kg, target.per_kg_club = first, second
+        elif m := _MULTI_PACK.match(line):
+            _assign_pack(group, int(m[1]) * _number(m[2]), m[3], line)
+            high = high_before
+        elif m := _PACK.match(line):
+            _assign_pack(group, _number(m[1]), m[2], line)
+        elif m := _DISCOUNT.match(line):
+            _assign(group, "discount_pct", int(m[1]))
+        elif m := _OLD.match(line):
+            _assign(group, "old_price", float(f"{m[1]}.{m[2] or '00'}"))
+        elif m := _CLUB.match(line):
+            _assign(group, "price_club", float(f"{m[1]}.{m[2]}"))
+            high = high_before
+        elif m := _BARE.match(line):
+            _assign(group, "price", float(f"{m[1] or m[3]}.{m[2] or m[4] or '00'}"))
+        elif high_before is not None and _LOW.match(line):
+            _assign(group, "price", float(f"{high_before}.{line}"))
+        elif _HIGH.match(line):
+            if len(line) > 3 or len(line) == 3 and not _LOW.match(following):
+                _assign(group, "price", float(f"{line[:-2]}.{line[-2:]}"))
+            else:
+                high = line
+        elif title_line(line):
+            own = products[-1].title_lines if products else []
+            if before and len(own) < TITLE_LINES and (not line[0].isupper() or len(own) == 1 and " " not in own[0]):
+                own.append(line)
+            else:
+                products.append(Product([line]))
+                group = [*group, products[-1]] if before else [products[-1]]
+            was_title = True
+    return [p for p in products if not bad_title(p.title)]
+
+
+def parse_products(pages: DataFrame, row: str, text: Column) -> DataFrame:
+    """The row id, product_no (from 1) and the parts of every product of every page; see page_products.
+
+    Pages are read whole, one at a time, in Arrow batches; null and empty pages give no rows; other columns are ignored.
+    """
+    kind = dict(pages.dtypes)[row]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, n, p.title, *(getattr(p, name) for name in _PARTS)) for i, t in zip(*(c.to_pylist() for c in batch.columns)) for n, p in enumerate(page_products(t), 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], wanted) for k, wanted in enumerate([batch.column(0).type, *_ARROW])], ["id", "product_no", "title", *_PARTS])
+
+    return pages.select(F.col(row).alias("id"), text.alias("text")).mapInArrow(parse, f"id {kind}, {PRODUCT_SCHEMA}").withColumnRenamed("id", row)

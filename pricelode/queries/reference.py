@@ -357,11 +357,22 @@ def effective_price(spark, root):
     return pairs.groupBy("l_partkey").agg(F.min("per").alias("low"), F.median("per").alias("mid"))
 
 
+def _leaflet_pages(spark, root):
+    return table(spark, root, "documents").where("doc_type = 'leaflet_page'").select("doc_id", "text")
+
+
 def leaflet_parse(spark, root):
-    """Attribute and price lines of leaflet pages, read in order of lines."""
+    """The products of leaflet pages with their packs and prices, read in order of lines."""
+    from pricelode.operators.leaflets import parse_products
+
+    return parse_products(_leaflet_pages(spark, root), "doc_id", F.col("text"))
+
+
+def leaflet_lines(spark, root):
+    """Attribute and price lines of leaflet pages under their running titles."""
     from pricelode.operators.leaflets import parse_pages
 
-    return parse_pages(table(spark, root, "documents").where("doc_type = 'leaflet_page'").select("doc_id", "text"), "doc_id", F.col("text"))
+    return parse_pages(_leaflet_pages(spark, root), "doc_id", F.col("text"))
 
 
-QUERIES["leaflet_parse"] = leaflet_parse
+QUERIES |= {f.__name__: f for f in (leaflet_parse, leaflet_lines)}
