@@ -5,7 +5,9 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import partial
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,64 @@ CLOSED = 0.995
 ROUNDS = 4
 
 
+class _Takers:
+    """Open bins by the sizes they hold: which of them can exchange with a giver is told without visiting them.
+
+    A bin with room r that gives back a size t (0: a move) can take a sum s with t < s <= t + r. Of the bins that hold t only
+    the roomiest matters, so the largest t + r over all t < s says whether a taker of s exists.
+    """
+
+    def __init__(self, capacity: int, items: list[list[tuple[int, int]]], fill: list[int], bins: list[int]) -> None:
+        self.capacity, self.items, self.fill = capacity, items, fill
+        self.sizes = np.array(sorted({0} | {size for b in bins for size, _ in items[b]}))
+        self.place = {size: i for i, size in enumerate(self.sizes.tolist())}
+        self.rooms: list[list[tuple[int, int]]] = [[] for _ in self.place]
+        self.reach = np.full(len(self.sizes), -1)
+        for b in bins:
+            for i in self._places(b):
+                self.rooms[i].append((capacity - fill[b], b))
+        for i, rooms in enumerate(self.rooms):
+            rooms.sort()
+            self._settle(i)
+
+    def _places(self, b: int) -> set[int]:
+        return {0} | {self.place[size] for size, _ in self.items[b]}
+
+    def _settle(self, i: int) -> None:
+        self.reach[i] = self.sizes[i] + self.rooms[i][-1][0] if self.rooms[i] else -1
+
+    def add(self, b: int) -> None:
+        for i in self._places(b):
+            insort(self.rooms[i], (self.capacity - self.fill[b], b))
+            self._settle(i)
+
+    def drop(self, b: int) -> None:
+        for i in self._places(b):
+            self.rooms[i].pop(bisect_left(self.rooms[i], (self.capacity - self.fill[b], b)))
+            self._settle(i)
+
+    def find(self, give: list[tuple[int, int]]) -> int | None:
+        """A bin that can take one or two of the giver's items, for nothing or for one smaller than they are."""
+        single = np.array([size for size, _ in give])
+        top = np.maximum.accumulate(self.reach)
+        for made in (np.unique, _pair_sums):
+            sums = made(single)
+            before = np.searchsorted(self.sizes, sums) - 1
+            good = np.flatnonzero(top[before] >= sums)
+            if len(good):
+                at = good[np.argmax(sums[good])]
+                i = int(np.argmax(self.reach[:before[at] + 1] >= sums[at]))
+                return self.rooms[i][-1][1]
+        return None
+
+
+def _pair_sums(single: np.ndarray) -> np.ndarray:
+    """Sums of two different items, from distinct sizes."""
+    sizes, count = np.unique(single, return_counts=True)
+    a, b = np.triu_indices(len(sizes), 1)
+    return np.concatenate([sizes[a] + sizes[b], 2 * sizes[count > 1]])
+
+
 class Bins:
     """Bins as ordered lists of (size, item), with their fill."""
 
@@ -46,27 +106,49 @@ class Bins:
         for own in self.items:
             own.sort()
 
-    def improve(self, keep: int, tries: int = 60) -> None:
-        """Exchanges that raise the sum of squared fills, until the emptiest bins are empty, `keep` remain, or none is left.
+    def improve(self, keep: int) -> None:
+        """Exchanges that raise the sum of squared fills, until `keep` bins remain or no exchange is left.
 
         The emptiest bin gives to underfull, fuller ones. A bin with room r takes the best of: one item of at most r (move);
         one item for a smaller one, the difference at most r (one for one); two items for one (two for one). Each makes the
         fuller bin fuller and the emptier one emptier, so the sum of squares grows and the search ends.
+
+        Takers are found by an index over all open bins that are not emptier. A bin that no taker is left for is followed by
+        the next emptiest; sweeps over all bins are repeated until one changes nothing.
         """
-        open_bins = sorted((b for b in range(len(self.fill)) if 0 < self.fill[b] < self.capacity), key=self.fill.__getitem__)
-        while len(open_bins) > 1 and sum(f > 0 for f in self.fill) > keep:
-            giver, rest = open_bins[0], open_bins[1:]
-            changed = True
-            while changed and self.items[giver]:
-                changed = False
-                for taker in reversed(rest[-tries:] if len(rest) > tries else rest):
-                    if self.fill[taker] < self.capacity and self._best(giver, taker):
-                        changed = True
-                        if not self.items[giver]:
-                            break
-            open_bins = [b for b in rest if self.fill[b] < self.capacity]
-            if self.items[giver] and len(open_bins) <= 1:
-                break
+        left = sum(f > 0 for f in self.fill)
+        changed = True
+        while changed and left > keep:
+            changed = False
+            waiting = [(self.fill[b], b) for b in range(len(self.fill)) if 0 < self.fill[b] < self.capacity]
+            heapify(waiting)
+            index = _Takers(self.capacity, self.items, self.fill, [b for _, b in waiting])
+            tied: set[int] = set()  # as full as the giver, and done: takers still
+            level = 0
+            while waiting and left > keep:
+                fill, giver = heappop(waiting)
+                if fill != self.fill[giver]:  # it took items since; its own entry follows
+                    continue
+                if fill > level:
+                    for b in tied:
+                        index.drop(b)
+                    tied, level = set(), fill
+                index.drop(giver)
+                while self.items[giver]:
+                    taker = index.find(self.items[giver])
+                    if taker is None:
+                        break
+                    index.drop(taker)
+                    tied.discard(taker)
+                    self._best(giver, taker)
+                    changed = True
+                    if self.fill[taker] < self.capacity:
+                        index.add(taker)
+                        heappush(waiting, (self.fill[taker], taker))
+                left -= not self.items[giver]
+                if self.fill[giver] == fill:
+                    index.add(giver)
+                    tied.add(giver)
 
     def _best(self, giver: int, taker: int) -> bool:
         give, take = self.items[giver], self.items[taker]

@@ -89,6 +89,25 @@ def test_local_search_empties_a_bin():
     assert sorted(f for f in bins.fill if f) == [10, 10]
 
 
+def test_local_search_tries_all_open_bins():
+    bins = packing.Bins(10)
+    bins.items = [[(4, 0)], [(5, 1)], *[[(9, i)] for i in range(2, 62)]]
+    bins.fill = [4, 5, *[9] * 60]
+    bins.improve(keep=1)
+    assert sorted(f for f in bins.fill if f) == [9] * 61
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 60), max_size=120))
+def test_local_search_leaves_no_exchange(sizes):
+    bins = packing.Bins(100)
+    bins.pack(sizes)
+    bins.improve(keep=0)
+    assert bins.fill == [sum(size for size, _ in own) for own in bins.items] and sorted(i for own in bins.items for _, i in own) == list(range(len(sizes)))
+    used = [b for b, f in enumerate(bins.fill) if 0 < f < 100]
+    assert not any(bins._best(a, b) for a in used for b in used if a != b and bins.fill[a] <= bins.fill[b])
+
+
 def test_containers(spark):
     sizes = [(i, n) for i, n in enumerate([5000, 2048, 4096, 1, 0, None, 2047, 700, 700, 700] + [300] * 50)] + [(None, 5), (3, 1)]
     frame = spark.createDataFrame(sizes, "id int, n int")
