@@ -56,6 +56,7 @@ _SIZE = regex.compile(rf"(?<![\p{{L}}\d.,/])(?:(\d{{1,3}})\s*[x×*]\s*)?(\d+\s?/
 _FAT = regex.compile(r"(?<![\d.,])(\d+(?:[.,]\d+)?)\s*%")
 _CODE = regex.compile(r"(?<!\d)(\d{13}|\d{12}|\d{8}|\d{14})(?!\d)")
 _WORD = regex.compile(r"[a-z]+")
+_MODEL = regex.compile(r"(?<![a-z\d.,])(?=[a-z/-]*\d)[a-z\d]+(?:[/-][a-z\d]+)*(?![\d%]|[.,]\d)")
 _VULGAR = {"½": 0.5, "¼": 0.25, "¾": 0.75}
 
 #: A wording is learned when it stands in this share of an item's titles, and in so many.
@@ -112,7 +113,10 @@ class Titles:
         return f"{max(1, int(count or 1))}x{round(value * target[1])}{target[0]}"
 
     def read(self, title: str | None, market: str | None, unit: str | None = None, quantity: float | None = None) -> dict:
-        """size (`2x100g`), fat, code, item, varieties and the tokens left over, the longest wordings first.
+        """size (`2x100g`), fat, code, part numbers, item, varieties and the tokens left over, the longest wordings first.
+
+        Part numbers are tokens with digits that are no size, per cent, GTIN or decimal, without their separators: `18V-55` is
+        18v55.
 
         Words of a wording may come in any order but must stand together; items go before varieties and these before
         marketing at equal length.
@@ -134,7 +138,13 @@ class Titles:
         if m:
             fat = f"{float(m[1].replace(',', '.')):g}"
             text = text[:m.start()] + " " + text[m.end():]
-        words = _WORD.findall(fold(text))
+        text = fold(text)
+        models: list[str] = []
+        if any(c.isdigit() for c in text):
+            text = _CODE.sub(" ", _SIZE.sub(" ", text))
+            models = sorted({regex.sub("[/-]", "", m) for m in _MODEL.findall(text)})
+            text = _MODEL.sub(" ", text)
+        words = _WORD.findall(text)
         kinds: dict[str, list[str]] = {"item": [], "variety": [], "marketing": []}
         used = [False] * len(words)
         for kind in ("item", "variety", "marketing"):
@@ -146,7 +156,7 @@ class Titles:
                             kinds[kind].append(hit[1])
                             used[i:i + n] = [True] * n
         rest = [w for w, u in zip(words, used) if not u and w not in FAT_WORDS]
-        return {"size": size, "fat": fat, "code": code, "item": kinds["item"][0] if kinds["item"] else None, "variety": "+".join(sorted(set(kinds["variety"]))), "rest": rest}
+        return {"size": size, "fat": fat, "code": code, "item": kinds["item"][0] if kinds["item"] else None, "variety": "+".join(sorted(set(kinds["variety"]))), "parts": "+".join(models), "rest": rest}
 
 
 def catalogue_wordings(catalogue: DataFrame) -> list[tuple[str, str, str]]:
@@ -192,7 +202,7 @@ def learned_wordings(labelled: DataFrame, title: str, market: str, item: str, kn
     return sorted(set(out))
 
 
-PARTS = "id {kind}, market string, brand string, item string, variety string, fat string, size string, code string"
+PARTS = "id {kind}, market string, brand string, item string, variety string, fat string, size string, code string, parts string"
 
 
 def _read(wordings: list, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,15 +210,15 @@ def _read(wordings: list, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(1, 5)]
         parts = [titles.read(*row) for row in zip(*columns)]
-        # What is left is the brand; without a known item its words are left too, and all of them tell the product.
-        brands = [max(p["rest"], key=len) if p["item"] and p["rest"] else " ".join(sorted(p["rest"])) for p in parts]
+        # What is left is the brand, all its words; without a known item its words are left too, and tell the product.
+        brands = [" ".join(sorted(set(p["rest"]))) for p in parts]
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(2), pa.array(brands, pa.string()), *[pa.array([p[k] for p in parts], pa.string()) for k in ("item", "variety", "fat", "size", "code")],
-        ], ["id", "market", "brand", "item", "variety", "fat", "size", "code"])
+            batch.column(0), batch.column(2), pa.array(brands, pa.string()), *[pa.array([p[k] for p in parts], pa.string()) for k in ("item", "variety", "fat", "size", "code", "parts")],
+        ], ["id", "market", "brand", "item", "variety", "fat", "size", "code", "parts"])
 
 
 def read_listings(listings: DataFrame, row: str, wordings: list[tuple[str, str, str]]) -> DataFrame:
-    """id, market, brand, item, variety, fat, size, code of each listing; parts that a title does not tell are null or empty."""
+    """id, market, brand, item, variety, fat, size, code, parts of each listing; parts that a title does not tell are null or empty."""
     kind = dict(listings.dtypes)[row]
     given = listings.select(F.col(row).alias("id"), "title", "market", "unit", F.when(~F.isnan("quantity"), F.col("quantity")).alias("quantity")).where("id is not null")
     return given.mapInArrow(partial(_read, wordings), PARTS.format(kind=kind))
@@ -261,28 +271,50 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _identifiers(grouped: DataFrame) -> DataFrame:
+    """key, product: what a listing's identifiers say it is. A GTIN counts by market; a reliable part number by market, item
+    and brand (without a known item, by all words, as none of them is known to be the brand). Listings of different sizes have different keys; one without a size has that of the only size its
+    identifier is seen with, if there is one."""
+    codes = grouped.where("code is not null").select(F.xxhash64(F.lit("code"), "market", "code").alias("identifier"), "size", "product")
+    numbered = grouped.where("parts <> ''").where("brand <> ''").withColumn("part", F.explode(F.filter(F.split("parts", r"\+"), _reliable)))
+    parts = numbered.select(F.xxhash64(F.lit("part"), "market", F.coalesce("item", F.lit("?")), "brand", "part").alias("identifier"), "size", "product")
+    seen = checkpointed(codes.unionByName(parts).distinct())
+    sizes = seen.groupBy("identifier").agg(F.min("size").alias("one"), F.max("size").alias("other"))
+    only = F.when(F.col("one") == F.col("other"), F.col("one"))
+    return seen.join(sizes, "identifier").select(F.xxhash64("identifier", F.coalesce("size", only, F.lit("?"))).alias("key"), "product").distinct()
+
+
+def _reliable(part: Column) -> Column:
+    """A part number that may join listings: five characters, two digits, and not just a number with a unit."""
+    return (F.length(part) >= 5) & (F.length(F.regexp_replace(part, "[^0-9]", "")) >= 2) & ~part.rlike("^[0-9]+[a-z]*$")
+
+
 def group_listings(listings: DataFrame, row: str, wordings: list[tuple[str, str, str]]) -> DataFrame:
-    """id, product (BIGINT): the product of each listing that a brand and size are known of; listings of one product share it.
+    """id, product (BIGINT): the product of each listing; listings of one product share it. One row per id.
 
-    Same product: same market, brand (a misspelling counts as the brand), item, varieties, fat content, size of the single
-    item and number of items. Listings that carry the same valid GTIN are one product too, unless their sizes differ; such
-    identifiers join groups, and the groups' connected components are the products. Price and seller do not count.
-    Null, empty and very long titles are allowed; rows with a null id are left out; a repeated id counts once; a title
-    without a size takes it from unit and quantity; an empty table gives an empty result.
+    Same product: same market, brand (a misspelling counts as the brand), item, varieties, fat content, part numbers, size of
+    the single item and number of items. Listings that carry the same valid GTIN, or the same brand, item and reliable part
+    number, are one product too, whatever else is known of them, unless their sizes differ; such identifiers join groups, and the
+    groups' connected components are the products. A listing without a brand or size that no identifier joins is a product
+    of its own. Price and seller do not count. Null, empty and very long titles and null markets are allowed; rows with a
+    null id are left out; a repeated id counts once; a title without a size takes it from unit and quantity; an empty table
+    gives an empty result.
 
     Listings meet on one hash of their parts, so a hot product is one key of a partial aggregation; brands are settled on
-    distinct spellings; identifiers are reduced to one edge a group and code before components are formed.
+    distinct spellings; identifiers are reduced to one edge a group and key before components are formed.
     """
-    parts = checkpointed(read_listings(listings, row, wordings).dropDuplicates(["id"]).where("brand <> '' and size is not null"))
-    block = F.xxhash64("market", F.coalesce("item", F.lit("?")), "variety", F.coalesce("fat", F.lit("-")), "size")
-    parts = parts.withColumn("block", block)
-    forms = checkpointed(parts.groupBy("market", "block", "brand").agg(F.count("*").alias("n")))
+    read = read_listings(listings, row, wordings).dropDuplicates(["id"]).withColumn("market", F.coalesce("market", F.lit("")))
+    block = F.xxhash64("market", F.coalesce("item", F.lit("?")), "variety", F.coalesce("fat", F.lit("-")), "size", "parts")
+    parts = checkpointed(read.withColumn("block", F.when((F.col("brand") != "") & F.col("size").isNotNull(), block)))
+    forms = checkpointed(parts.where("block is not null").groupBy("market", "block", "brand").agg(F.count("*").alias("n")))
     settled = canonical_brands(forms)
-    grouped = parts.join(settled, ["block", "market", "brand"]).select("id", "size", "market", "code", F.xxhash64("block", "canonical").alias("product"))
-    coded = checkpointed(grouped.where("code is not null").select(F.xxhash64("market", "code", "size").alias("key"), "product").distinct())
-    if coded.isEmpty():
+    named = parts.join(settled, ["block", "market", "brand"], "left")
+    product = F.when(F.col("block").isNotNull(), F.xxhash64("block", "canonical")).otherwise(F.xxhash64(F.lit("alone"), "id"))
+    grouped = named.select("id", "size", "market", "item", "code", "parts", F.coalesce("canonical", "brand").alias("brand"), product.alias("product"))
+    keys = checkpointed(_identifiers(grouped))
+    if keys.isEmpty():
         return grouped.select("id", "product")
-    edges = coded.join(coded.groupBy("key").agg(F.min("product").alias("least")), "key").select(F.col("product").alias("a"), F.col("least").alias("b"))
+    edges = keys.join(keys.groupBy("key").agg(F.min("product").alias("least")), "key").select(F.col("product").alias("a"), F.col("least").alias("b"))
     joined = components(edges)
     return grouped.join(joined, grouped["product"] == joined["node"], "left").select("id", F.coalesce("component", "product").alias("product"))
 

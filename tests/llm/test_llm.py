@@ -198,6 +198,22 @@ def test_products(spark):
     assert products.group_listings(frame.limit(0), "listing_id", words).count() == 0
 
 
+def test_products_by_identifiers(spark):
+    words = [("cs", "maslo", "maslo")]
+    titles = [
+        (1, "de", "Bosch Akkuschrauber GSR 18V-55 2 kg"), (2, "de", "Bosch Akkuschrauber GSR 12V-15 2 kg"), (3, "de", "GSR 18V/55, Akkuschrauber Bosch"), (4, "de", "Makita Akkuschrauber GSR 18V-55 2 kg"),
+        (5, "cz", "Alpine Farm máslo 250 g"), (6, "cz", "Alpine Gold máslo 250 g"), (7, "cz", "máslo Farm Alpine 0,25 kg"),
+        (8, "cz", "Gibodizi mléko 4006381333931"), (9, "cz", "4006381333931 1 l"), (10, "cz", "Gibodizi 4006381333931 6 l"), (11, "cz", "Jiné 4006381333931 1 l"),
+        (12, None, "Máslo Kato 200 g"), (13, None, "Kato máslo 0,2 kg"), (14, "cz", None), (15, "cz", ""), (16, "cz", "Pivo Tovo 24pack 5 l"), (17, "cz", "Tovo sýr 24pack 5 l"),
+    ]
+    frame = spark.createDataFrame([(i, t, m, None, None) for i, m, t in titles], "listing_id int, title string, market string, unit string, quantity double")
+    rows = products.group_listings(frame, "listing_id", words)
+    assert sorted(r.id for r in rows.collect()) == list(range(1, 18))
+    assert {tuple(r) for r in products.pairs(rows).collect()} == {(1, 3), (5, 7), (9, 11), (12, 13)}
+    one = products.group_listings(frame.where("listing_id in (8, 9, 14)"), "listing_id", words)
+    assert {tuple(r) for r in products.pairs(one).collect()} == {(8, 9)} and one.count() == 3
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.component for r in products.components(spark.createDataFrame(edges, "a long, b long")).collect()}
