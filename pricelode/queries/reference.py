@@ -115,7 +115,7 @@ RULES = [(1, "(?i)green", "green"), (2, "(?i)^s", "starts_s"), (3, "[0-9]5$", "f
 
 @query("SELECT p_partkey, ordinal, target FROM (SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(?i)green') THEN 1 WHEN regexp_matches(p_name, '(?i)^s') THEN 2 WHEN regexp_matches(p_name, '[0-9]5$') THEN 3 WHEN regexp_matches(p_name, '(?i)e') THEN 4 END AS ordinal) t, (VALUES (1, 'green'), (2, 'starts_s'), (3, 'five'), (4, 'has_e')) r(o, target) WHERE o = ordinal".replace("END AS ordinal)", "END AS ordinal FROM part)"))
 def first_match_rules(spark, root):
-    """The first of ordered patterns that a text matches."""
+    """The first of ordered patterns that a text matches, without J6's equality of store and market."""
     return R.first_match(table(spark, root, "part"), "p_partkey", "p_name", RULES).select("p_partkey", "ordinal", "target")
 
 
@@ -251,7 +251,7 @@ def reason_histogram(spark, root):
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice, coalesce(o_totalprice - following < 10000, false) AS close FROM (SELECT *, row_number() OVER w AS k, lead(o_totalprice) OVER w AS following FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)) WHERE k = 1")
 def ambiguity_margin(spark, root):
-    """The best of each group and whether the second is close."""
+    """The best of each group and whether the second is close; nothing is ranked again (W5), and variants are none."""
     best = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
     two = table(spark, root, "orders").withColumn("k", F.row_number().over(best)).where("k <= 2")
     following = two.withColumn("following", F.lead("o_totalprice").over(best))
@@ -260,7 +260,7 @@ def ambiguity_margin(spark, root):
 
 @query("SELECT 'bad_date' AS rule, offer_seq FROM offers WHERE valid_to < valid_from UNION ALL SELECT 'no_price', offer_seq FROM offers WHERE price_czk IS NULL OR price_czk <= 0 UNION ALL SELECT 'unknown_item', offer_seq FROM offers WHERE ingredient_id IS NOT NULL AND ingredient_id NOT IN (SELECT id FROM catalogue) UNION ALL SELECT 'no_title', offer_seq FROM offers WHERE trim(coalesce(title, '')) = ''")
 def validation_errors(spark, root):
-    """V1, V2, V3, V6: one row per broken rule and row, in one pass but for membership."""
+    """V2, V3, V6: four fixed checks (no schema as in V1), one row per broken rule and row, in one pass but for membership."""
     offers = table(spark, root, "offers").select("offer_seq", "valid_from", "valid_to", "price_czk", "ingredient_id", "title")
     checks = F.array_compact(F.array(
         F.when(F.col("valid_to") < F.col("valid_from"), F.lit("bad_date")), F.when(F.col("price_czk").isNull() | (F.col("price_czk") <= 0), F.lit("no_price")), F.when(F.trim(F.coalesce("title", F.lit(""))) == "", F.lit("no_title"))))
@@ -314,7 +314,7 @@ def offer_projection(spark, root):
 
 @query("SELECT offer_seq, regexp_extract(source_url, '^https?://([^/]+)', 1) AS host, regexp_extract(source_url, '/o/([0-9]+)/', 1) AS outlet, regexp_extract(source_url, '([^/]+)$', 1) AS slug FROM offers")
 def page_fields(spark, root):
-    """Parts of addresses."""
+    """Parts of addresses (no embedded JSON as in S11, no dates in slugs as in S12)."""
     parts = {"host": r"^https?://([^/]+)", "outlet": r"/o/([0-9]+)/", "slug": r"([^/]+)$"}
     return table(spark, root, "offers").select("offer_seq", *[F.regexp_extract("source_url", p, 1).alias(n) for n, p in parts.items()])
 
@@ -333,7 +333,10 @@ def _some_start(q: str):
 
 @query(f"""SELECT id, score FROM (SELECT id, {' + '.join(f"CASE WHEN list_contains(parts, '{q}') THEN 30 WHEN len(list_filter(parts, lambda x: starts_with(x, '{q}'))) > 0 THEN 15 ELSE 0 END" for q in ('syr', 'eid'))} - len(parts) AS score FROM (SELECT id, string_split({_fold_sql("concat_ws(' ', id, name_cs, array_to_string(aliases, ' '))")}, ' ') AS parts FROM catalogue)) WHERE score > 0 ORDER BY score DESC, id LIMIT 10""")
 def catalogue_search(spark, root):
-    """The ten best entries for a search (the limit is the feature): whole words 30, beginnings 15, less one a word."""
+    """The ten best entries for a search (the limit is the feature): whole words 30, beginnings 15, less one a word.
+
+    Of R8 it has only the part a token; its additions for all tokens, full equality and a prefix are not built.
+    """
     parts = F.split(text.fold(F.concat_ws(" ", "id", "name_cs", F.array_join("aliases", " "))), " ")
     score = -F.size("parts")
     for q in ("syr", "eid"):
