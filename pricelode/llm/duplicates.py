@@ -21,8 +21,17 @@ def plain_text(text: Column) -> Column:
 
 
 def json_fields(text: Column) -> Column:
-    """A JSON object's fields as MAP<STRING,STRING>, in which nested values are compact JSON; null where the text is no object."""
-    return F.from_json(text, "map<string,string>")
+    """A JSON object's fields as MAP<STRING,STRING>; null where the text is no object. Nested values are compact JSON in which
+    the fields of objects are in order of their names, at any depth. Values that this would read as less exact numbers (16
+    digits or more, exponents), or that name a field twice, stay as written."""
+    fields = F.from_json(text, "map<string,string>")
+
+    def ordered(_: Column, value: Column) -> Column:
+        nested = value.rlike(r"^\s*[\[{]") & ~value.rlike(r"\d{16}|\d[eE][+-]?\d")
+        return F.when(nested, F.coalesce(F.to_json(F.try_parse_json(value)), value)).otherwise(value)
+
+    # A second brace tells that objects may be nested.
+    return F.when(text.rlike(r"\{[^{]*\{"), F.transform_values(fields, ordered)).otherwise(fields)
 
 
 #: How a column's values are compared.
@@ -69,7 +78,7 @@ def collapse_formatting(frame: DataFrame, row: str, kinds: dict[str, str]) -> Da
 
     `kinds` maps each column that counts to how: `text` (white space, letter case and punctuation do not count, the decimal
     mark between two digits does), `date` (only digits count), `number`, `exact`, or `json` (an object, whose order of
-    fields does not count). A null equals only a null; empty and blank texts equal each other; a `json` text that is no
+    fields does not count, in nested objects neither). A null equals only a null; empty and blank texts equal each other; a `json` text that is no
     object is compared as text. Rows with a null id are left out; a repeated id counts as one row; other columns are
     ignored, whatever their names. An empty table gives an empty result.
 
@@ -103,3 +112,10 @@ def collapse_formatting(frame: DataFrame, row: str, kinds: dict[str, str]) -> Da
 def copy_counts(copies: DataFrame) -> DataFrame:
     """keep, copies (BIGINT): how many copies of each repeated record there are, the first included."""
     return copies.groupBy("keep").agg((F.count("*") + 1).alias("copies"))
+
+
+def records(frame: DataFrame, row: str, copies: DataFrame) -> DataFrame:
+    """keep, copies (BIGINT): every record once, by its first row, with the number of its copies; 1 where nothing repeats it."""
+    ids = frame.select(F.col(row).alias("keep")).where("keep is not null").distinct()
+    kept = ids.join(copies.select(F.col("copy").alias("keep")), "keep", "left_anti")
+    return kept.join(copy_counts(copies), "keep", "left").select("keep", F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"))

@@ -28,6 +28,13 @@ def p2_copies(spark: SparkSession, root: str) -> DataFrame:
     return duplicates.copy_counts(found).select(F.col("keep").alias("offer_seq"), "copies")
 
 
+def p2_records(spark: SparkSession, root: str) -> DataFrame:
+    """offer_seq, copies: every record once, with the number of its copies, 1 where there is no other."""
+    offers = table(spark, root, "offers")
+    found = duplicates.collapse_formatting(offers, "offer_seq", OFFER_FIELDS)
+    return duplicates.records(offers, "offer_seq", found).select(F.col("keep").alias("offer_seq"), "copies")
+
+
 def _readings(spark: SparkSession, root: str) -> DataFrame:
     """One row per match_seq: a second delivery repeats its row later, so the first is taken."""
     rows = table(spark, root, "matched_rows").where("match_seq is not null and czk_per_kg is not null and not isnan(czk_per_kg)")
@@ -48,7 +55,7 @@ def p7_by_day(spark: SparkSession, root: str) -> DataFrame:
     return _wide(percentiles.percentiles(_readings(spark, root), ["ingredient_id", "store"], F.col("czk_per_kg"), list(FRACTIONS.values()), share=F.col("observed_on")))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_copies, p7_by_day, p7_percentiles)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_copies, p2_records, p7_by_day, p7_percentiles)}
 
 SQL = {
     "p7_percentiles": f"""
@@ -77,6 +84,7 @@ SQL["p2_found"] = f"""
 WITH k AS (SELECT offer_seq, {_FIELDS} FROM offers), g AS (SELECT offer_seq, min(offer_seq) OVER (PARTITION BY {_KEYS}) AS keep FROM k)
 SELECT keep AS keep_seq, offer_seq AS copy_seq FROM g WHERE keep <> offer_seq"""
 SQL["p2_copies"] = f"SELECT keep_seq AS offer_seq, count(*) + 1 AS copies FROM ({SQL['p2_found']}) GROUP BY ALL"
+SQL["p2_records"] = f"SELECT min(offer_seq) AS offer_seq, count(DISTINCT offer_seq) AS copies FROM (SELECT offer_seq, {_FIELDS} FROM offers WHERE offer_seq IS NOT NULL) GROUP BY {_KEYS}"
 
 
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:

@@ -33,6 +33,17 @@ def test_duplicates(spark):
     assert duplicates.collapse_formatting(frame.limit(0), "id", kinds).count() == 0
 
 
+def test_nested_objects_and_single_records(spark):
+    rows = [
+        (1, '{"a": {"x": 1, "y": [{"p": null, "q": "b"}]}, "b": 2}'), (2, '{"b": 2, "a": {"y": [{"q": "b", "p": null}], "x": 1}}'), (3, '{"b": 2, "a": {"y": [{"q": "b"}], "x": 1}}'),
+        (4, '{"a": {"x": 12345678901234567890123456789012345678901, "y": 1}}'), (5, '{"a": {"x": 12345678901234567890123456789012345678902, "y": 1}}'), (None, '{"a": 1}'),
+    ]
+    frame = spark.createDataFrame(rows, "id int, raw string")
+    found = duplicates.collapse_formatting(frame, "id", {"raw": "json"})
+    assert {tuple(r) for r in found.collect()} == {(1, 2)}
+    assert {tuple(r) for r in duplicates.records(frame, "id", found).collect()} == {(1, 2), (3, 1), (4, 1), (5, 1)}
+
+
 @pytest.mark.parametrize("parts, small, share", [(2, 1, False), (7, 1, True), (256, 4096, True)])
 def test_percentiles_equal_numpy(spark, parts, small, share):
     random.seed(parts)
