@@ -21,7 +21,7 @@ class SpikeRule:
 
     reach: observations on each side that make up the level. longest: rows that may be off together and still be a spike.
     scatters: distance from the level, in scatters of the source (1.4826 x median absolute deviation of logarithms), from
-    which a row is far off; at least `least` (a logarithm: 0.24 is about a quarter more). stuck_times and stuck_least: how many
+    which a row is far off; `least` (a logarithm: 0.24 is about a quarter more) where a source has no scatter. stuck_times and stuck_least: how many
     times the source's usual run, and how many observations, a run of one value must have.
     """
 
@@ -55,7 +55,7 @@ def spike_scores(values: np.ndarray, group: np.ndarray, rule: SpikeRule) -> np.n
     """How far each value is from the level around it, if it belongs to at most `longest` neighbours that are off together.
 
     For each start and length the level before is the median of the `reach` values before, the level after that of those
-    after. A group's distance is the least of its members' distances from either level, all in one direction; the values
+    after. A group's distance is the least of its members' distances from either level, each in its own direction; the values
     next to the group must lie by the level, else the group is part of a longer change and no spike. Lasting changes of
     level thus score nothing: their level after is the new one.
     """
@@ -71,9 +71,8 @@ def spike_scores(values: np.ndarray, group: np.ndarray, rule: SpikeRule) -> np.n
         after = _windows(values, group, np.arange(length, length + rule.reach), at)
         left, right = np.where(np.isnan(before), after, before), np.where(np.isnan(after), before, after)
         member = np.stack([values[np.clip(at + t, 0, n - 1)] for t in range(length)])
-        above = np.minimum(member - left, member - right).min(axis=0)
-        below = np.minimum(left - member, right - member).min(axis=0)
-        distance = np.where(whole, np.nan_to_num(np.maximum(np.maximum(above, below), 0)), 0)
+        above, below = np.minimum(member - left, member - right), np.minimum(left - member, right - member)
+        distance = np.where(whole, np.nan_to_num(np.maximum(np.maximum(above, below), 0).min(axis=0)), 0)
         level = (left + right) / 2
         for neighbour in (at - 1, at + length):
             clipped = np.clip(neighbour, 0, n - 1)
@@ -118,7 +117,7 @@ def _profile(rule: SpikeRule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             value = np.log(plain.value.values)
             group = np.cumsum(np.r_[0, (plain.number.values[1:] != plain.number.values[:-1]) | (plain.regime.values[1:] != plain.regime.values[:-1])])
             score = spike_scores(value, group, rule)
-            off = score >= rule.least
+            off = score > 0
             yield from emit("spike", plain.source.values[off], plain.row_id.values[off], score[off])
             # The usual scatter is that between values, however long each is held: one value a run.
             first = np.r_[True, (group[1:] != group[:-1]) | (value[1:] != value[:-1])]
@@ -190,7 +189,7 @@ def implausible_in_series(frame: DataFrame, *, row: str, source: str, series: li
     ).where("value is not null and not isnan(value) and row_id is not null")
     together = rows.repartition("series", "source").sortWithinPartitions("series", "source", "at", "row_id").drop("at")
     profile = checkpointed(together.mapInArrow(partial(_profile, rule), "kind string, source string, row_id bigint, metric double, weight bigint"))
-    scatter = _usual(profile, "deviation").select(F.col("source").alias("s"), F.greatest(F.lit(rule.least), rule.scatters * 1.4826 * F.exp((F.col("usual") + 0.5) / BINS)).alias("limit"))
+    scatter = _usual(profile, "deviation").select(F.col("source").alias("s"), F.when(F.col("usual") <= _LOWEST * BINS, rule.least).otherwise(rule.scatters * 1.4826 * F.exp((F.col("usual") + 0.5) / BINS)).alias("limit"))
     hold = _usual(profile, "run").select(F.col("source").alias("s"), F.greatest(F.lit(float(rule.stuck_least)), rule.stuck_times * F.col("usual")).alias("limit"))
     out = []
     for kind, limits in (("spike", scatter), ("stuck", hold)):

@@ -43,6 +43,14 @@ def test_stuck_against_the_usual_run(spark):
     assert {i - 1000 for i, w in got if w == "stuck" and 1000 <= i < 2000} == set(range(24, 43))
 
 
+def test_spikes_of_steady_sources_and_in_both_directions(spark):
+    random = np.random.default_rng(5)
+    values = list(100 * np.exp(random.normal(0, 0.01, 60)))
+    values[20] *= 1.2
+    values[40], values[41] = 300.0, 30.0
+    assert _found(spark, _series(spark, values)) == {(20, "spike"), (40, "spike"), (41, "spike")}
+
+
 def test_empty_and_null_tables(spark):
     assert _found(spark, []) == set()
     assert _found(spark, [(None, None, None, None, None, None, None), (1, None, None, None, None, 3.0, None), (1, None, None, None, None, 3.0, None)]) == set()
