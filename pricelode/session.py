@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def get_session(app: str = "pricelode", **conf: str) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller's session is used as it is."""
     builder = SparkSession.builder.appName(app)
@@ -32,18 +37,41 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that lineage cuts go to: the cluster's spark.checkpoint.dir, else (as in tests) a new temporary one."""
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop path and its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder for lineage cuts, in the cluster's spark.checkpoint.dir; it is removed when the application ends.
+
+    Only a local session may leave that setting out (as in tests) and gets a temporary folder: elsewhere executors could
+    not read what others wrote to a folder of their own machine, so that raises.
+    """
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pricelode-checkpoint-")
-    context.setCheckpointDir(folder)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _LOCAL.get(context.applicationId) or _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="pricelode-"))
+    folder = f"{root.rstrip('/')}/pricelode-{context.applicationId}"
+    target, system = _hadoop(spark, folder)
+    if not system.exists(target):
+        system.mkdirs(target)
+        system.deleteOnExit(target)
     return folder
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """`frame` written to the shared checkpoint folder, so that later stages survive the loss of executors without computing it again."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """`frame` written as a table to the shared folder, so that later stages survive the loss of executors without computing
+    it again, and read only the columns they need. Order and partitioning are not kept."""
+    path = f"{shared_folder(frame.sparkSession)}/{uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all tables that `checkpointed` has written; call it when the results made from them have been stored."""
+    target, system = _hadoop(spark, shared_folder(spark))
+    system.delete(target, True)
