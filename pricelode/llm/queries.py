@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelode.llm import duplicates, packing, percentiles, products, sentences, tokens
-from pricelode.session import table
+from pricelode.session import checkpointed, table
 
 # How each column of offers counts when records are compared; the rest do not.
 OFFER_FIELDS = {
@@ -45,14 +45,20 @@ def _wide(found: DataFrame) -> DataFrame:
     return found.groupBy("ingredient_id", "store", "n").agg(*[F.round(F.max(F.when(F.col("fraction") == f, F.col("value"))), 6).alias(name) for name, f in FRACTIONS.items()])
 
 
+def _numbers(spark: SparkSession, root: str, share: Column | None = None) -> DataFrame:
+    return checkpointed(percentiles.numeric_rows(_readings(spark, root), ["ingredient_id", "store"], F.col("czk_per_kg"), share))
+
+
 def p7_percentiles(spark: SparkSession, root: str) -> DataFrame:
     """ingredient_id, store, n and six percentiles of czk_per_kg, exact."""
-    return _wide(percentiles.percentiles(_readings(spark, root), ["ingredient_id", "store"], F.col("czk_per_kg"), list(FRACTIONS.values())))
+    return _wide(percentiles.percentiles(_numbers(spark, root), list(FRACTIONS.values())))
 
 
 def p7_by_day(spark: SparkSession, root: str) -> DataFrame:
-    """The same, put together from counts of single days."""
-    return _wide(percentiles.percentiles(_readings(spark, root), ["ingredient_id", "store"], F.col("czk_per_kg"), list(FRACTIONS.values()), share=F.col("observed_on")))
+    """The same, put together from the stored states of single days."""
+    rows = _numbers(spark, root, F.col("observed_on"))
+    days = checkpointed(percentiles.interval_states(rows))
+    return _wide(percentiles.percentiles(rows, list(FRACTIONS.values()), states=days))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_copies, p2_records, p7_by_day, p7_percentiles)}

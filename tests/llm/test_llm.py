@@ -44,14 +44,14 @@ def test_nested_objects_and_single_records(spark):
     assert {tuple(r) for r in duplicates.records(frame, "id", found).collect()} == {(1, 2), (3, 1), (4, 1), (5, 1)}
 
 
-@pytest.mark.parametrize("parts, small, share", [(2, 1, False), (7, 1, True), (256, 4096, True)])
-def test_percentiles_equal_numpy(spark, parts, small, share):
+@pytest.mark.parametrize("parts, by_share", [(2, False), (7, True), (256, True)])
+def test_percentiles_equal_numpy(spark, parts, by_share):
     random.seed(parts)
     values = {"a": [random.lognormvariate(0, 3) * random.choice([1, -1]) for _ in range(500)], "b": [7.5] * 40, None: [0.0, -0.0, 1e300, -1e300, 5e-324], "c": [1.0]}
     rows = [(g, v, i % 4) for g, own in values.items() for i, v in enumerate(own)] + [("d", None, 1), ("d", float("nan"), 1), ("b", None, 0)]
-    frame = spark.createDataFrame(rows, "g string, low double, share int")
+    frame = percentiles.numeric_rows(spark.createDataFrame(rows, "g string, low double, share int"), ["g"], F.col("low"), F.col("share") if by_share else None)
     fractions = [0.0, 0.05, 0.5, 0.99, 1.0]
-    out = percentiles.percentiles(frame, ["g"], F.col("low"), fractions, share=F.col("share") if share else None, parts=parts, small=small)
+    out = percentiles.percentiles(frame, fractions, parts=parts)
     got = {(r.g, r.fraction): (r.value, r.n) for r in out.collect()}
     assert set(got) == {(g, f) for g in values for f in fractions}
     for (g, f), (value, n) in got.items():
@@ -59,15 +59,36 @@ def test_percentiles_equal_numpy(spark, parts, small, share):
         place = f * (len(own) - 1)
         a, b = own[math.floor(place)], own[math.ceil(place)]
         assert n == len(own) and math.isclose(value, a + (b - a) * (place - math.floor(place)) if a != b else a, rel_tol=1e-12, abs_tol=1e-300)
-    assert percentiles.percentiles(frame.limit(0), ["g"], F.col("low"), [0.5]).count() == 0
+    assert percentiles.percentiles(frame.limit(0), [0.5]).count() == 0
 
 
 def test_percentiles_with_error(spark):
-    frame = spark.range(1, 20001).select(F.lit(1).alias("g"), F.col("id").cast("double").alias("v"))
-    out = percentiles.percentiles(frame, ["g"], F.col("v"), [0.25, 0.5], error=0.01, small=1)
+    frame = percentiles.numeric_rows(spark.range(1, 20001).select(F.lit(1).alias("g"), F.col("id").cast("double").alias("v")), ["g"], F.col("v"))
+    out = percentiles.percentiles(frame, [0.25, 0.5], error=0.01)
     assert all(abs(r.value - (1 + r.fraction * 19999)) <= 0.01 * r.value for r in out.collect())
 
 
+def test_states_of_days_merge_in_any_order(spark, monkeypatch):
+    random.seed(5)
+    days = [spark.createDataFrame([(i % 3, random.lognormvariate(3, 1)) for i in range(200)], "g int, low double") for _ in range(4)]
+    rows = [percentiles.numeric_rows(d, ["g"], F.col("low")) for d in days]
+    every = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3]).cache()
+    one = sorted(tuple(r) for r in percentiles.percentiles(every, [0.05, 0.5, 0.95]).collect())
+    passes = []
+    narrowed = percentiles._narrowed
+    monkeypatch.setattr(percentiles, "_narrowed", lambda *a: passes.append(1) or narrowed(*a))
+    for order in ([0, 1, 2, 3], [3, 1, 0, 2]):
+        apart = [percentiles.interval_states(rows[i]) for i in order]
+        first = percentiles.merged_states(apart[0].unionByName(apart[1]))
+        last = percentiles.merged_states(apart[2].unionByName(apart[3]))
+        states = first.unionByName(last)
+        passes.clear()
+        assert sorted(tuple(r) for r in percentiles.percentiles(every, [0.05, 0.5, 0.95], states=states).collect()) == one
+        assert len(passes) > 1  # intervals of several values are narrowed on, however few rows they have
+        near = {tuple(r)[:3]: r.value for r in percentiles.bounded_percentiles(states, [0.05, 0.5, 0.95]).collect()}
+        assert all(abs(near[g, n, f] / v - 1) <= 1 / 64 for g, n, f, v in one)
+
+
 def test_tokens_equal_the_library(spark):
     from tokenizers import Tokenizer
 
