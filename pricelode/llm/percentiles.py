@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricelode.session import checkpointed
 
 #: Parts that a value interval is cut into in a pass: all midpoints between them are counted at once (2 is plain bisection).
-PARTS = 256
+PARTS = 1024
 #: Fixed intervals a unit of the natural logarithm, which states count in; any double falls into one of them.
 FIRST = 64
 #: Groups up to which their intervals (at most two a percentile) are broadcast; beyond, they are joined by a shuffle.
@@ -112,7 +112,7 @@ def percentiles(rows: DataFrame, fractions: list[float], *, states: DataFrame |
     """
     merged = checkpointed(merged_states(interval_states(rows) if states is None else states))
     asked = checkpointed(_asked(merged, fractions))
-    few = asked.select("g").distinct().count() <= BROADCAST_GROUPS
+    few = asked.count() <= BROADCAST_GROUPS * len(set(fractions))
     targets = checkpointed(_first_targets(asked, merged))
     narrow = (F.col("lo") == F.col("hi")) | (F.col("hi") - F.col("lo") <= 2 * error * F.least(F.abs("lo"), F.abs("hi")))
     done = None

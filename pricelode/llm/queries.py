@@ -123,8 +123,9 @@ QUERIES |= {"p10_found": p10_found}
 
 def _grouped(spark: SparkSession, root: str) -> DataFrame:
     known = products.catalogue_wordings(table(spark, root, "catalogue"))
-    learned = products.learned_wordings(table(spark, root, "offers"), "title", "market", "ingredient_id", known)
-    return products.group_listings(table(spark, root, "listings"), "listing_id", known + learned)
+    learned, beside = products.learned_wordings(table(spark, root, "offers"), "title", "market", "ingredient_id", known)
+    wordings, adjectives = products.wording_list(known.unionByName(learned)), products.wording_list(beside)
+    return products.group_listings(table(spark, root, "listings"), "listing_id", wordings, adjectives)
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:

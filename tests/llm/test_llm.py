@@ -217,19 +217,75 @@ def test_sentence_table(spark, classifier):
     assert sentences.sentence_units(frame.limit(0), "id", F.col("text")).count() == 0
 
 
+def _listing_frame(spark, titles):
+    return spark.createDataFrame([(i, t, m, None, None, "clash") for i, m, t in titles], "listing_id int, title string, market string, unit string, quantity double, product string")
+
+
 def test_products(spark):
     words = [("cs", "maslo", "maslo"), ("cs", "krkovice veprova", "krkovice"), ("pl", "maslo", "maslo")]
     titles = [
-        (1, "cz", "Gibodizi máslo bio 250 g"), (2, "cz", "TOP NABÍDKA | 0,25 kg | BIO kvalita | GIBODIZI | MASLO"), (3, "cz", "Gibodzi maslo v bio kvalitě (25 dkg) akce"), (4, "cz", "Gibodizi máslo 250 g"),
+        (1, "cz", "Gibodizi máslo bio 250 g"), (2, "cz", "BIO | 0,25 kg | GIBODIZI | MASLO"), (3, "cz", "bio Gibodizi maslo (25 dkg)"), (4, "cz", "Gibodizi máslo 250 g"),
         (5, "cz", "Gibodizi máslo bio 2x125 g"), (6, "pl", "Gibodizi masło bio 250 g"), (7, "cz", "Vepřová krkovice Gibodizi tuk 4,5 % 1 kg"), (8, "cz", "krkovice, vepřová, gibodizi, 1000 g, obsah tuku 4.5 %"),
         (9, "cz", "Gibodizi máslo bio 250 g"), (10, "cz", None), (11, "cz", ""), (None, "cz", "Gibodizi máslo bio 250 g"), (12, None, "x" * 50_000), (13, "cz", "Gibodizi mléko 4006381333931 1 l"), (14, "cz", "Jiné 4006381333931 zboží 1 l"), (15, "cz", "Třetí 4006381333932 1 l"),
     ]
-    frame = spark.createDataFrame([(i, t, m, None, None, "clash") for i, m, t in titles], "listing_id int, title string, market string, unit string, quantity double, product string")
+    frame = _listing_frame(spark, titles)
     found = {tuple(r) for r in products.pairs(products.group_listings(frame, "listing_id", words)).collect()}
     assert found == {(1, 2), (1, 3), (1, 9), (2, 3), (2, 9), (3, 9), (7, 8), (13, 14)}
     assert products.group_listings(frame.limit(0), "listing_id", words).count() == 0
 
 
+def test_products_without_word_lists(spark):
+    """Invented brands, wordings of two varieties and advertising, none of which the library has seen."""
+    random.seed(11)
+    syllable = lambda: random.choice("bdfgklmnprstvz") + random.choice("aeiou")
+    word = lambda n: "".join(syllable() for _ in range(n))
+    items = [word(3) + "x" for _ in range(12)]
+    brands = [word(4) + "q" for _ in range(60)]
+    varieties = [[word(3) + "w" for _ in range(3)] for _ in range(8)]
+    advertising = [f"{word(3)}h {word(2)}h" for _ in range(10)]
+    rows, truth = [], {}
+    for brand in brands:
+        for item in random.sample(items, 6):
+            size, kinds = random.choice([100, 250, 500]), random.sample([None, *varieties], 1 + (random.random() < 0.3))
+            for variety in kinds:
+                for _ in range(random.randint(2, 6)):
+                    spelled = brand if random.random() > 0.05 else brand[:3] + brand[4:]
+                    parts = [spelled, item, f"{size} g", *([random.choice(variety)] if variety else []), *random.sample(advertising, random.randint(0, 2))]
+                    random.shuffle(parts)
+                    truth[len(rows)] = (brand, item, size, tuple(variety or ()))
+                    rows.append((len(rows), "cz", " ".join(parts)))
+    known = [("cs", item, item) for item in items]
+    wanted = {(a, b) for a in truth for b in truth if a < b and truth[a] == truth[b]}
+    # An advertising word that stands once, and a part number that tells two products apart and joins two wordings.
+    first = next(a for a in truth if (a, a + 1) in wanted)
+    rows[first] = (first, "cz", rows[first][2] + " limitovana edice")
+    found = {tuple(r) for r in products.pairs(products.group_listings(_listing_frame(spark, rows), "listing_id", known)).collect()}
+    assert (first, first + 1) in found
+    assert len(found & wanted) >= 0.95 * len(wanted) and len(found & wanted) >= 0.95 * len(found)
+
+
+def test_wordings_are_learned(spark):
+    catalogue = spark.createDataFrame([("maslo", "máslo", None, {"sk": "maslo"}, None, ["stolní máslo"]), (None, "nic", None, None, None, None)], "id string, name_cs string, name_plural_cs string, names map<string,string>, names_plural map<string,string>, aliases array<string>")
+    known = products.catalogue_wordings(catalogue)
+    assert {tuple(r) for r in known.collect()} == {("cs", "maslo", "maslo"), ("cs", "stolni maslo", "maslo"), ("sk", "maslo", "maslo")}
+    rows = [(f"Znacka{chr(97 + i % 26)} čerstvé máslo 250 g", "cz", "maslo") for i in range(60)] + [(f"Bra{chr(97 + i % 26)} pomazánka mléčná {i} kg", "cz", "maslo") for i in range(60)] + [(None, "cz", "maslo"), ("x", None, "maslo"), ("x", "cz", None)]
+    offers = spark.createDataFrame(rows, "title string, market string, ingredient_id string")
+    fresh, beside = products.learned_wordings(offers, "title", "market", "ingredient_id", known)
+    assert [tuple(r) for r in fresh.collect()] == [("cs", "mlecna pomazanka", "maslo")]
+    assert {tuple(r) for r in beside.collect()} == {("cs", "cerstve", "maslo"), ("cs", "maslo", "maslo")}
+    assert products.learned_wordings(offers.limit(0), "title", "market", "ingredient_id", known)[0].count() == 0
+
+
+@pytest.mark.parametrize("length", [3, 39, 40, 41, 42, 90])
+def test_words_an_edit_apart_share_a_key(spark, length):
+    random.seed(length)
+    word = "".join(random.choice("abcdef") for _ in range(length))
+    edits = [word[:i] + word[i + 1:] for i in range(length)] + [word[:i] + "z" + word[i:] for i in range(length + 1)] + [word[:i] + "z" + word[i + 1:] for i in range(length)]
+    edits += [word[:i] + word[i + 1] + word[i] + word[i + 2:] for i in range(length - 1)]
+    frame = spark.createDataFrame([(word, e) for e in edits], "a string, b string")
+    assert frame.where(~F.arrays_overlap(products._deletion_keys(F.col("a")), products._deletion_keys(F.col("b"))) | ~products._near(F.col("a"), F.col("b"))).count() == 0
+
+
 def test_products_by_identifiers(spark):
     words = [("cs", "maslo", "maslo")]
     titles = [
