@@ -319,10 +319,10 @@ def word_meanings(named: DataFrame) -> DataFrame:
 
 
 def brand_parts(named: DataFrame) -> DataFrame:
-    """market, brand, w: words that nearly always stand beside one brand and are thus part of it (`Alpine Farm`, `Alpine Gold`)."""
+    """market, brand, w: words seen twice or more, nearly always beside one brand, and thus part of it (`Alpine Farm`, `Alpine Gold`)."""
     pairs = named.select("market", F.coalesce("brand", F.lit("")).alias("brand"), F.explode("rest").alias("w")).groupBy("market", "w", "brand").agg(F.count("*").alias("n"))
     totals = pairs.groupBy("market", "w").agg(F.sum("n").alias("total"))
-    return pairs.join(totals, ["market", "w"]).where((F.col("total") >= RELIABLE) & (F.col("n") >= 0.8 * F.col("total")) & (F.col("brand") != "")).select("market", "brand", "w")
+    return pairs.join(totals, ["market", "w"]).where((F.col("total") >= 2) & (F.col("n") >= 0.8 * F.col("total")) & (F.col("brand") != "")).select("market", "brand", "w")
 
 
 def identities(named: DataFrame) -> DataFrame:
