@@ -84,20 +84,26 @@ def collapse_formatting(frame: DataFrame, row: str, kinds: dict[str, str]) -> Da
 
     Each (field name, normalised value) pair is hashed with two seeds and a record's pairs are added up, so the order of
     fields plays no part and nothing is sorted. Records are grouped by the pair of sums with partial aggregation; only rows
-    of groups with several members go on. Each is verified field by field against its group's first row; any that differ
-    (a collision of 124 bits) are grouped again by their whole content. A group with a third of all rows is a few numbers
-    a task after the first aggregation; its rows are joined back by a join that adaptive execution splits when skewed.
+    of groups with several members are read in full again, found by a bitmap of bounded size (see _among). Each is
+    verified field by field against its group's first row; any that differ (a collision of 124 bits) are grouped again by
+    their whole content. A group with a third of all rows is a few numbers a task after the first aggregation; its rows are
+    joined back by a join that adaptive execution splits when skewed.
     """
-    rows = frame.select(
-        F.col(row).alias("id"), *[KINDS[kind](F.col(c)).alias(f"f{i}") for i, (c, kind) in enumerate(kinds.items())],
-        *[F.when(json_fields(F.col(c)).isNull(), plain_text(F.col(c))).alias(f"t{i}") for i, (c, kind) in enumerate(kinds.items()) if kind == "json"],
-    ).where("id is not null")
-    fields = [c for c in rows.columns if c != "id"]
+    given = frame.select(F.col(row).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(kinds)]).where("id is not null")
     maps = {f"f{i}" for i, kind in enumerate(kinds.values()) if kind == "json"}
-    printed = rows.withColumn("p1", _fingerprint(fields, maps, 1)).withColumn("p2", _fingerprint(fields, maps, 2))
-    groups = printed.groupBy("p1", "p2").agg(F.min("id").alias("keep"), F.max("id").alias("last")).where("last > keep").drop("last")
-    members = checkpointed(printed.join(groups, ["p1", "p2"]).drop("p1", "p2"))
-    first = members.where("id = keep").groupBy("keep").agg(*[F.first(c).alias(f"_{c}") for c in fields])
+
+    def normalised(rows: DataFrame, *keep: str) -> DataFrame:
+        plain = [KINDS[kind](F.col(f"c{i}")).alias(f"f{i}") for i, kind in enumerate(kinds.values())]
+        other = [F.when(json_fields(F.col(f"c{i}")).isNull(), plain_text(F.col(f"c{i}"))).alias(f"t{i}") for i, kind in enumerate(kinds.values()) if kind == "json"]
+        return rows.select("id", *keep, *plain, *other)
+
+    printed = normalised(given)
+    fields = [c for c in printed.columns if c != "id"]
+    prints = checkpointed(printed.select("id", _fingerprint(fields, maps, 1).alias("p1"), _fingerprint(fields, maps, 2).alias("p2")))
+    groups = prints.groupBy("p1", "p2").agg(F.min("id").alias("keep"), F.max("id").alias("last")).where("last > keep").drop("last")
+    repeated = checkpointed(prints.join(groups, ["p1", "p2"]).select("id", "keep").distinct())
+    members = checkpointed(normalised(_among(given, repeated).join(repeated, "id"), "keep"))
+    first = members.where("id = keep").groupBy("keep").agg(F.min_by(F.struct(*fields), F.lit(0)).alias("first")).select("keep", *[F.col(f"first.{c}").alias(f"_{c}") for c in fields])
     equal = F.lit(True)
     for c in fields:
         equal = equal & _equal(c, f"_{c}", c in maps)
@@ -109,6 +115,24 @@ def collapse_formatting(frame: DataFrame, row: str, kinds: dict[str, str]) -> Da
     return verified.unionByName(again).distinct()
 
 
+#: 64-bit words of the bitmap that picks rows by id: at most so many are broadcast (16 MB), and so few at least.
+WORDS_MOST, WORDS_LEAST = 1 << 20, 1 << 10
+
+
+def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id may be among the wanted ones, and few others, so that the rest need no shuffle.
+
+    A bitmap of hashed ids, about ten bits a wanted id, is broadcast; its size is bounded. Beyond that bound it holds ever more of
+    the other rows, which the join that follows drops.
+    """
+    count = wanted.count()
+    words = min(WORDS_MOST, max(WORDS_LEAST, 1 << (count // 6).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(words * 64))
+    bitmap = wanted.select(F.expr("1L").alias("one"), place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.col("one"), (F.col("place") % 64).cast("int"))).alias("bits"))
+    kept = rows.withColumn("place", place).join(F.broadcast(bitmap), F.shiftright("place", 6) == F.col("word"))
+    return kept.where(F.call_function("getbit", F.col("bits"), (F.col("place") % 64).cast("int")) == 1).drop("place", "word", "bits")
+
+
 def copy_counts(copies: DataFrame) -> DataFrame:
     """keep, copies (BIGINT): how many copies of each repeated record there are, the first included."""
     return copies.groupBy("keep").agg((F.count("*") + 1).alias("copies"))
