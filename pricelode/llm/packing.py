@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -18,8 +18,6 @@ from pricelode.session import checkpointed
 GROUP = 20_000
 #: Containers filled to this share are closed when a round ends; the others' items are packed again, across tasks.
 CLOSED = 0.995
-#: Rounds of repacking; the last leaves all containers closed.
-ROUNDS = 4
 
 
 class _Takers:
@@ -203,14 +201,14 @@ def pack_sizes(sizes: list[int], capacity: int) -> list[int]:
     return out
 
 
-def _pack_group(capacity: int, level: int, last: bool, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pack_group(capacity: int, level: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Packs the items of a task group by group; a container's number says round, group and bin."""
     held: list[pd.DataFrame] = []
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         number = pd.Series(pack_sizes(frame["size"].tolist(), capacity), index=frame.index)
         fill = frame["size"].groupby(number).transform("sum")
-        return frame.assign(container=level * 2**58 + frame.grp.astype("int64") * 2**24 + number, closed=True if last else fill >= CLOSED * capacity)[["id", "piece", "size", "container", "closed"]]
+        return frame.assign(container=level * 2**50 + frame.grp.astype("int64") * 2**24 + number, closed=fill >= CLOSED * capacity)[["id", "piece", "size", "container", "closed"]]
 
     for batch in batches:
         for _, part in batch.groupby((batch.grp != batch.grp.shift()).cumsum(), sort=False):
@@ -231,7 +229,8 @@ def fill_containers(sizes: DataFrame, row: str, size: str, capacity: int, group:
 
     Items are dealt at random to groups of bounded size. A group is packed best fit, then improved by local search (see
     Bins.improve). Containers that stay underfull give their items to the next round, in fewer groups, so that what single
-    groups could not fill is filled across them; a round's groups hold `group` items, whatever the number of all.
+    groups could not fill is filled across them, until a round saves no container or no fewer can hold all; a round's groups
+    hold `group` items, whatever the number of all.
     """
     kind = dict(sizes.dtypes)[row]
     items = sizes.where(F.col(row).isNotNull() & (F.col(size) > 0)).select(F.col(row).alias("id"), F.col(size).cast("bigint").alias("n"))
@@ -240,19 +239,24 @@ def fill_containers(sizes: DataFrame, row: str, size: str, capacity: int, group:
     full = pieces.where(F.col("size") == capacity)
     done = full.select("id", "piece", "size", (F.monotonically_increasing_id() + F.lit(1 << 62)).alias("container"))
     rest = pieces.where(F.col("size") < capacity)
-    before = None
-    for level in range(ROUNDS):
-        count = rest.count()
-        groups = max(1, -(-count // group))
-        last = groups == 1 or level == ROUNDS - 1 or count == before
-        before = count
+    least = rest.agg(F.ceil(F.sum("size") / capacity)).first()[0] or 0
+    level, kept, closed, open_before, before = 0, [done], 0, None, None
+    while True:
+        groups = max(1, -(-rest.count() // group))
         dealt = rest.select("id", "piece", "size", F.pmod(F.xxhash64("id", "piece", F.lit(level)), F.lit(groups)).cast("int").alias("grp"))
         together = dealt.repartition("grp").sortWithinPartitions("grp", "size", "id", "piece")
-        packed = checkpointed(together.mapInPandas(partial(_pack_group, capacity, level, last), f"id {kind}, piece bigint, size int, container bigint, closed boolean"))
-        done = done.unionByName(packed.where("closed").select("id", "piece", "size", "container"))
-        if last:
+        packed = checkpointed(together.mapInPandas(partial(_pack_group, capacity, level), f"id {kind}, piece bigint, size int, container bigint, closed boolean"))
+        used = packed.groupBy("container").agg(F.first("closed").alias("closed")).agg(F.count("*").alias("n"), F.count_if("closed").alias("closed")).first()
+        if open_before is not None and used.n > open_before:  # the round before was better
+            kept.append(before)
             break
-        rest = packed.where("not closed").select("id", "piece", "size")
+        if groups == 1 or used.n == open_before or closed + used.n <= least:
+            kept.append(packed)
+            break
+        kept.append(packed.where("closed"))
+        closed, open_before, before, level = closed + used.closed, used.n - used.closed, packed.where("not closed"), level + 1
+        rest = before.select("id", "piece", "size")
+    done = reduce(DataFrame.unionByName, (part.select("id", "piece", "size", "container") for part in kept))
     # A container holds at most `capacity` items, so its list is bounded.
     listed = done.groupBy("container").agg(F.array_sort(F.collect_list(F.struct("id", "piece", "size"))).alias("items"))
     placed = listed.select("container", F.posexplode("items").alias("place", "item"))

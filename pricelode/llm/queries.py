@@ -98,6 +98,14 @@ def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     return tokens.token_ids(table(spark, root, "documents"), "doc_id", F.col("text"))
 
 
+def p8_texts(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, text: every text out of its tokens again."""
+    return tokens.token_texts(p8_ids(spark, root), "doc_id", "ids")
+
+
+SQL["p8_texts"] = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
+
+
 def p9_containers(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, piece, from_token, n_tokens, container, place: every text in containers of 2,048 tokens."""
     counts = tokens.token_counts(table(spark, root, "documents"), "doc_id", F.col("text"))
@@ -110,7 +118,7 @@ def p9_fill(spark: SparkSession, root: str) -> DataFrame:
     return each.agg(F.count("*").alias("containers"), F.sum("fill").alias("tokens"), F.round(1 - F.sum("fill") / F.count("*") / 2048, 6).alias("room"), F.ceil(F.sum("fill") / 2048).alias("least"))
 
 
-QUERIES |= {f.__name__: f for f in (p8_ids, p9_containers, p9_fill)}
+QUERIES |= {f.__name__: f for f in (p8_ids, p8_texts, p9_containers, p9_fill)}
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:

@@ -20,26 +20,31 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 QUERY_BYTES = 150_000
 REMEMBERED = 200_000
 
-#: Rows are the tokens of words, by place. A step finds each word's pair of least rank, contracts its occurrences from the
-#: left (in a run of overlapping ones every other), and goes on until no pair of a word has a rank. Contracting all
-#: occurrences at once gives what contracting the leftmost time after time does, as a merge makes no pair of a lower rank.
+#: Rows are the tokens of words, by place; the key (word, place) keeps the last state of each, so that a word of n bytes holds n
+#: rows however many steps it takes. A step finds the pair of least rank of each word that changed in the step before,
+#: contracts its occurrences from the left (in a run of overlapping ones every other), and goes on until no pair of a word
+#: has a rank. Contracting all occurrences at once gives what contracting the leftmost time after time does, as a merge makes
+#: no pair of a lower rank.
 ENCODE = """
-WITH RECURSIVE t(w, p, k, live) AS (
+WITH RECURSIVE t(w, p, k, live) USING KEY (w, p) AS (
   SELECT w, p, k, true FROM words
-  UNION ALL (
-    WITH pairs AS (SELECT w, p, k, lead(k) OVER place AS following, row_number() OVER place AS i FROM t WHERE live WINDOW place AS (PARTITION BY w ORDER BY p)),
+  UNION (
+    WITH pairs AS (SELECT w, p, k, lead(k) OVER place AS following, row_number() OVER place AS i FROM recurring.t WHERE live AND w IN (SELECT w FROM t) WINDOW place AS (PARTITION BY w ORDER BY p)),
     ranked AS (SELECT pairs.*, m.rank, m.merged FROM pairs LEFT JOIN merges m ON m.a = pairs.k AND m.b = pairs.following),
     least AS (SELECT w, min(rank) AS low FROM ranked GROUP BY w),
     hits AS (SELECT r.w, r.i, r.merged, r.i - row_number() OVER (PARTITION BY r.w ORDER BY r.i) AS run FROM ranked r JOIN least USING (w) WHERE r.rank = least.low),
     chosen AS (SELECT w, i, merged FROM hits QUALIFY row_number() OVER (PARTITION BY w, run ORDER BY i) % 2 = 1)
-    SELECT r.w, r.p, coalesce(c.merged, r.k), least.low IS NOT NULL
-    FROM ranked r JOIN least USING (w) LEFT JOIN chosen c ON c.w = r.w AND c.i = r.i LEFT JOIN chosen gone ON gone.w = r.w AND gone.i = r.i - 1
-    WHERE gone.w IS NULL
+    SELECT r.w, r.p, coalesce(c.merged, r.k), c.w IS NOT NULL
+    FROM ranked r LEFT JOIN chosen c ON c.w = r.w AND c.i = r.i LEFT JOIN chosen gone ON gone.w = r.w AND gone.i = r.i - 1
+    WHERE c.w IS NOT NULL OR gone.w IS NOT NULL
   )
 )
-SELECT w, list(k ORDER BY p) AS ids FROM t WHERE NOT live GROUP BY w ORDER BY w
+SELECT w, list(k ORDER BY p) AS ids FROM t WHERE live GROUP BY w ORDER BY w
 """
 
+#: The bytes of each text, in hexadecimal, in order of its tokens.
+DECODE = "SELECT t, string_agg(bytes, '' ORDER BY p) AS bytes FROM given_ids JOIN pieces USING (id) GROUP BY t ORDER BY t"
+
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte in byte-level vocabularies: printable Latin-1 as it is, the rest from 256 on."""
@@ -122,6 +127,53 @@ def _encode_batches(path: str, only_count: bool, batches: Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([part.column(0), out], ["id", "out"])
 
 
+class Decoder:
+    """Texts of token ids, by ordered aggregation of the bytes of their tokens."""
+
+    def __init__(self, path: str) -> None:
+        import duckdb
+
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
+        byte = {c: b for b, c in enumerate(byte_characters())}
+        spelled = {i: bytes(byte[c] for c in token).hex() for token, i in vocabulary.items() if all(c in byte for c in token)}
+        self.base = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        self.base.register("given", pa.table({"id": pa.array(spelled, pa.int32()), "bytes": pa.array(spelled.values(), pa.string())}))
+        self.base.execute("CREATE TABLE pieces AS SELECT * FROM given")
+        self.base.unregister("given")
+
+    def decode(self, ids: pa.ListArray) -> list[str | None]:
+        counts = np.array([len(x) if x is not None else 0 for x in ids.to_pylist()], np.int64)
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        self.base.register("given_ids", pa.table({
+            "t": pa.array(np.repeat(np.arange(len(counts), dtype=np.int32), counts)), "p": pa.array(np.arange(total) - np.repeat(ends - counts, counts)), "id": pa.array(ids.flatten(), pa.int32()),
+        }))
+        found = self.base.sql(DECODE).to_arrow_table()
+        self.base.unregister("given_ids")
+        texts = dict(zip(found.column("t").to_pylist(), found.column("bytes").to_pylist()))
+        return [None if missing else bytes.fromhex(texts.get(i, "")).decode("utf-8", "replace") for i, missing in enumerate(ids.is_null().to_pylist())]
+
+
+def _decode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    decoder: Decoder | None = None
+    for batch in batches:
+        for start in range(0, batch.num_rows, 2_000):
+            part = batch.slice(start, 2_000)
+            decoder = decoder or Decoder(path)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(decoder.decode(part.column(1)), pa.string())], ["id", "text"])
+
+
+def token_texts(frame: DataFrame, row: str, ids: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """The row id and text of each list of token ids: what token_ids made them from (the empty text for an empty list).
+
+    A null list gives a null text; ids that are in no vocabulary and special tokens give nothing; bytes that are no UTF-8
+    become the replacement character. One row per row.
+    """
+    kind = dict(frame.dtypes)[row]
+    return frame.select(F.col(row).alias("id"), F.col(ids).cast("array<int>").alias("ids")).mapInArrow(partial(_decode_batches, tokenizer), f"id {kind}, text string").withColumnRenamed("id", row)
+
+
 def _spread(frame: DataFrame) -> DataFrame:
     """At least two tasks a core: few input splits would leave cores idle in a step that is all computation."""
     wanted = 2 * frame.sparkSession.sparkContext.defaultParallelism

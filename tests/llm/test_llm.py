@@ -103,6 +103,15 @@ def test_tokens_equal_the_library(spark):
     assert tokens.token_ids(frame.limit(0), "id", F.col("text")).count() == 0
 
 
+def test_decoding(spark):
+    frame = spark.createDataFrame([(1, [], "c"), (2, None, "c"), (3, [999_999_999], "c")], "id int, ids array<int>, text string")
+    assert {tuple(r) for r in tokens.token_texts(frame, "id", "ids").collect()} == {(1, ""), (2, None), (3, "")}
+    texts = ["\x00<|endoftext|> a\u0301 \U0001f600\r\n\t ", "ab" * 3_000, "x" * 9_001]
+    given_texts = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = tokens.token_texts(tokens.token_ids(given_texts, "id", F.col("text")), "id", "ids")
+    assert [r.text for r in out.orderBy("id").collect()] == texts
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 100), max_size=80))
 def test_bins_hold_all_and_improve(sizes):
