@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from typing import NamedTuple
 
@@ -14,6 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelode.llm.tokens import spread
 from pricelode.session import checkpointed
 
 # Marks that may end a sentence, marks that begin a line of its own, and what opens and closes a quotation or bracket.
@@ -36,6 +38,8 @@ _TOKEN_AFTER = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _THAI = regex.compile(r"(?<=[ก-ฺเ-๎])\s+(?=[ก-ฺเ-๎])")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _ROMAN = regex.compile(r"[ivx]+")
+_OPENERS = re.compile(f"[{re.escape(''.join(PAIRS))}]")
+_BOUNDS = {opener: re.compile(f"[{re.escape(opener + closing)}]") for opener, closing in PAIRS.items()}
 
 
 class Context(NamedTuple):
@@ -60,6 +64,21 @@ class Block(NamedTuple):
     single: bool  # a line of its own, which is not split
 
 
+def _remembered(of: Callable[[str], str]) -> Callable[[str], str]:
+    """`of`, with the results of up to 100,000 tokens kept."""
+    known: dict[str, str] = {}
+
+    def found(token: str) -> str:
+        out = known.get(token)
+        if out is None:
+            if len(known) >= 100_000:
+                known.clear()
+            out = known[token] = of(token)
+        return out
+
+    return found
+
+
 def blocks(text: str) -> list[Block]:
     """Parts between blank lines and bullet lines, without the white space around them."""
     out: list[Block] = []
@@ -97,29 +116,24 @@ def enclosed(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """Outermost quotations and brackets of a block as (opening place, closing place); one that is never closed encloses nothing."""
     spans: list[tuple[int, int]] = []
     at = start
-    while at < end:
-        closing = PAIRS.get(text[at])
-        if closing:
-            if text[at] == "»" and at > start and not text[at - 1].isspace() and text[at - 1] not in "(„":
-                at += 1  # closes something that was not opened
-                continue
-            depth, to = 1, at + 1
-            while to < end:
-                ch = text[to]
-                if ch in closing:
-                    depth -= 1
-                    if not depth:
-                        break
-                elif ch == text[at]:
-                    depth += 1
-                to += 1
-            if to < end:
-                spans.append((at, to))
-                at = to
+    while m := _OPENERS.search(text, at, end):
+        at = m.start()
+        opener = text[at]
+        if opener == "»" and at > start and not text[at - 1].isspace() and text[at - 1] not in "(„":
+            at += 1  # closes something that was not opened
+            continue
+        depth = 1
+        for n in _BOUNDS[opener].finditer(text, at + 1, end):
+            depth += 1 if n[0] == opener and opener not in PAIRS[opener] else -1
+            if not depth:
+                spans.append((at, n.start()))
+                at = n.start()
+                break
         at += 1
     return spans
 
 
+@_remembered
 def _shape(token: str) -> str:
     if not token:
         return "none"
@@ -137,6 +151,7 @@ def _shape(token: str) -> str:
     return kind + str(min(len(token), 4))
 
 
+@_remembered
 def _name(token: str) -> str:
     if not token:
         return ""
@@ -187,10 +202,9 @@ def _first_token(text: str, at: int, end: int) -> tuple[str, str, str, str]:
     return _name(token), _shape(token), kind, opened
 
 
-def candidates(text: str, block: Block, cased: str) -> Iterator[tuple[int, Context]]:
-    """Places behind end marks (and what closes there) at which a sentence of the block may end, in order."""
+def candidates(text: str, block: Block, cased: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, Context]]:
+    """Places behind end marks (and what closes there) at which a sentence of the block may end, in order; `spans` are its quotations and brackets."""
     start, end = block.start, block.end
-    spans = enclosed(text, start, end)
     k = 0
     for m in _MARKS.finditer(text, start, end):
         at = m.end()
@@ -303,23 +317,23 @@ def units(text: str | None, classifier: Classifier) -> list[tuple[int, int]]:
     if not text or not text.strip():
         return []
     cased = _writing(text)
-    found: list[tuple[int, list[int], list[Context], Block]] = []
+    found: list[tuple[int, list[int], list[tuple[int, int]], Block]] = []
     every: list[Context] = []
     own_blocks = blocks(text)
     for block in own_blocks:
-        places, contexts = [], []
+        places, contexts, spans = [], [], []
         if not block.single:
-            for at, context in candidates(text, block, cased):
+            spans = enclosed(text, block.start, block.end)
+            for at, context in candidates(text, block, cased, spans):
                 places.append(at)
                 contexts.append(context)
-        found.append((len(every), places, contexts, block))
+        found.append((len(every), places, spans, block))
         every += contexts
     verdict = classifier.says(every) if every else []
     out: list[tuple[int, int]] = []
-    for first, places, _, block in found:
+    for first, places, quotes, block in found:
         cuts = [at for at, yes in zip(places, verdict[first:first + len(places)]) if yes]
         if not block.single:
-            quotes = enclosed(text, block.start, block.end)
             cuts += [m.start() for m in _THAI.finditer(text, block.start, block.end) if not any(a < m.start() <= b for a, b in quotes)]
         start = block.start
         for cut in [*sorted(set(cuts)), block.end]:
@@ -350,7 +364,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if block.single:
                     last = None
                     continue
-                counts.update(("inside", *c) for _, c in candidates(text, block, cased))
+                counts.update(("inside", *c) for _, c in candidates(text, block, cased, enclosed(text, block.start, block.end)))
                 end = ended(text, block)
                 if last is not None and end is not None:
                     after, shape, following, opened = _first_token(text, block.start, block.end)
@@ -396,7 +410,7 @@ def train(frame: DataFrame, text: Column, sample: int = SAMPLE) -> Classifier:
     least hashes, which keeps what reaches the driver within a fixed bound.
     """
     given = frame.select(text.alias("text")).where("text is not null")
-    contexts = checkpointed(_spread(given).mapInArrow(_gather, f"kind string, {FIELDS}, n bigint").groupBy("kind", *Context._fields).agg(F.sum("n").alias("n")))
+    contexts = checkpointed(spread(given).mapInArrow(_gather, f"kind string, {FIELDS}, n bigint").groupBy("kind", *Context._fields).agg(F.sum("n").alias("n")))
     keyed = _labelled(contexts).select(*Context._fields, F.xxhash64(*Context._fields, "label").alias("h"), "label", "n")
     hashed = keyed.mapInArrow(_hash_batches, "h bigint, label double, n bigint, f array<int>")
     chosen = hashed.orderBy("h", "f", "label", "n").limit(sample).toArrow()
@@ -414,12 +428,6 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([batch.column(width), batch.column(width + 1), batch.column(width + 2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))], ["h", "label", "n", "f"])
 
 
-def _spread(frame: DataFrame) -> DataFrame:
-    """At least two tasks a core: few input splits would leave cores idle in a step that is all computation."""
-    wanted = 2 * frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= wanted else frame.repartition(wanted)
-
-
 def _split_batches(weights: np.ndarray, bias: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     classifier = Classifier(weights, bias)
     for batch in batches:
@@ -446,5 +454,5 @@ def sentence_units(frame: DataFrame, row: str, text: Column, classifier: Classif
     own = classifier or train(frame, text)
     kind = dict(frame.dtypes)[row]
     given = frame.select(F.col(row).alias("id"), text.alias("text"))
-    found = _spread(given).mapInArrow(partial(_split_batches, own.weights, own.bias), f"id {kind}, sent_start bigint, sent_end bigint")
+    found = spread(given).mapInArrow(partial(_split_batches, own.weights, own.bias), f"id {kind}, sent_start bigint, sent_end bigint")
     return found.select(F.col("id").alias(row), "sent_start", "sent_end")

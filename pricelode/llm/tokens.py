@@ -174,7 +174,7 @@ def token_texts(frame: DataFrame, row: str, ids: str, tokenizer: str = TOKENIZER
     return frame.select(F.col(row).alias("id"), F.col(ids).cast("array<int>").alias("ids")).mapInArrow(partial(_decode_batches, tokenizer), f"id {kind}, text string").withColumnRenamed("id", row)
 
 
-def _spread(frame: DataFrame) -> DataFrame:
+def spread(frame: DataFrame) -> DataFrame:
     """At least two tasks a core: few input splits would leave cores idle in a step that is all computation."""
     wanted = 2 * frame.sparkSession.sparkContext.defaultParallelism
     return frame if frame.rdd.getNumPartitions() >= wanted else frame.repartition(wanted)
@@ -183,7 +183,7 @@ def _spread(frame: DataFrame) -> DataFrame:
 def _run(frame: DataFrame, row: str, text: Column, path: str, only_count: bool) -> DataFrame:
     kind = dict(frame.dtypes)[row]
     given = frame.select(F.col(row).alias("id"), text.alias("text"))
-    return _spread(given).mapInArrow(partial(_encode_batches, path, only_count), f"id {kind}, out {'bigint' if only_count else 'array<int>'}")
+    return spread(given).mapInArrow(partial(_encode_batches, path, only_count), f"id {kind}, out {'bigint' if only_count else 'array<int>'}")
 
 
 def token_ids(frame: DataFrame, row: str, text: Column, tokenizer: str = TOKENIZER) -> DataFrame:
