@@ -27,6 +27,8 @@ CLOSERS = "".join(sorted(set("".join(PAIRS.values())) | set("'’")))
 #: The classifier is fitted on at most so many distinct contexts with a reliable label, and has so many hashed weights.
 SAMPLE = 150_000
 WEIGHTS = 1 << 18
+#: A token counts as standing before marks, or before another token, when so many other characters at most lie between.
+REACH = 40
 #: Occurrences from which a token that never stands at a block's end (start) is taken for one that never ends (starts) a sentence.
 ENOUGH = 20
 
@@ -34,6 +36,7 @@ _LINE = regex.compile(r"\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]")
 _BREAKS = "\n\r\x0b\x0c\x85\u2028\u2029"
 _MARKS = regex.compile(rf"[{regex.escape(END_MARKS)}]+(?:[ \xa0]?[…!?]+)?|(?<=[\p{{Greek}}\p{{M}}»\)])[;\u037e]")
 _TOKEN_BEFORE = regex.compile(r"(?r)[\p{L}\p{M}\p{N}\u200d]+")
+_LAST_LETTER = regex.compile(r"(?r)[\p{L}\p{M}\p{N}\u200d]")
 _TOKEN_AFTER = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _THAI = regex.compile(r"(?<=[ก-ฺเ-๎])\s+(?=[ก-ฺเ-๎])")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
@@ -159,7 +162,8 @@ def _name(token: str) -> str:
         return "<n>" if token.isdigit() else "<m>"
     if _UNSPACED.match(token):
         return token[:2]
-    return token.casefold()[:14]
+    folded = token.casefold()
+    return folded if len(folded) <= 32 else f"{folded[:20]}~{zlib.crc32(folded.encode()):x}"
 
 
 def _writing(text: str) -> str:
@@ -170,8 +174,14 @@ def _writing(text: str) -> str:
     return "U" if upper > 0.85 * (upper + lower) else "L" if upper == 0 else "N"
 
 
+def _token_before(text: str, at: int, floor: int, reach: int) -> regex.Match | None:
+    """The whole token that ends last before `at`, however long it is, if it ends within `reach` characters."""
+    last = _LAST_LETTER.search(text, max(floor, at - reach), at)
+    return _TOKEN_BEFORE.match(text, floor, last.end()) if last else None
+
+
 def _last_tokens(text: str, at: int, floor: int) -> tuple[str, str, str]:
-    m = _TOKEN_BEFORE.search(text, max(floor, at - 40), at)
+    m = _token_before(text, at, floor, REACH)
     if not m:
         return "", "none", ""
     token, gap = m.group(), at - m.end()
@@ -179,7 +189,7 @@ def _last_tokens(text: str, at: int, floor: int) -> tuple[str, str, str]:
         token = token[-2:]
     name = _name(token) if not gap else "/" + text[at - 1]
     shape = _shape(token) if not gap else "/" + _shape(token)
-    n = _TOKEN_BEFORE.search(text, max(floor, m.start() - 24), m.start())
+    n = _token_before(text, m.start(), floor, REACH)
     if not n:
         return name, shape, ""
     between = text[n.end():m.start()]
@@ -191,7 +201,7 @@ def _first_token(text: str, at: int, end: int) -> tuple[str, str, str, str]:
     while at < end and (text[at] in PAIRS or text[at] in "'‘"):
         opened = text[at]
         at += 1
-    m = _TOKEN_AFTER.match(text, at, min(end, at + 24))
+    m = _TOKEN_AFTER.match(text, at, end)
     if not m:
         return "/" + text[at:at + 1], "other", "", opened
     token = m.group()

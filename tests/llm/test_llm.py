@@ -315,3 +315,12 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.component for r in products.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_long_tokens_are_read_to_their_end():
+    for letters in (30, 60, 50_000):
+        text = "a" * letters + ". " + "B" * letters + " c."
+        (at, context), = sentences.candidates(text, sentences.Block(0, len(text), False), "N", [])
+        assert context.before.startswith("a" * 20) and context.after.startswith("b" * 20) and context.after_next == " "
+    one, other = (sentences._name("x" * 40 + c) for c in "yz")
+    assert one != other
