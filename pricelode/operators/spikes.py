@@ -90,6 +90,32 @@ def _runs(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return number, np.bincount(number)
 
 
+#: Rows of one series that are judged together; of a longer one, pieces overlap by what a verdict looks at.
+PIECE = 50_000
+
+
+def _continued(frame: pd.DataFrame, rule: SpikeRule) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """A part of one long series as the piece to judge now and what the next piece starts with.
+
+    The last rows, of each regime as many as a verdict looks ahead, wait for what follows; they are moved back to the start of
+    their run of equal values (at most half a piece: such a run is far longer than any usual one wherever it is cut). The rows
+    before are repeated in the next piece as context, which is looked at but not judged again.
+    """
+    around = 2 * (rule.reach + rule.longest)
+    behind = frame.groupby("regime", dropna=False).cumcount(ascending=False).values
+    keep = int(np.nonzero(behind >= around)[0].max()) + 1 if (behind >= around).any() else 0
+    value = frame.value.values
+    start = keep
+    while start > max(0, keep - PIECE // 2) and value[start - 1] == value[min(start, len(value) - 1)]:
+        start -= 1
+    keep = start if start > keep - PIECE // 2 else keep
+    now = frame.copy()
+    now.loc[now.index[keep:], "context"] = True
+    before = frame.iloc[:keep]
+    last = before[before.groupby("regime", dropna=False).cumcount(ascending=False).values < around].assign(context=True)
+    return now, pd.concat([last, frame.iloc[keep:]], ignore_index=True)
+
+
 def _profile(rule: SpikeRule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole series, sorted by observation, to candidates and to counts of what is usual for their source.
 
@@ -103,13 +129,15 @@ def _profile(rule: SpikeRule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         series = (frame.series.values[1:] != frame.series.values[:-1]) | (frame.source.values[1:] != frame.source.values[:-1])
         frame["number"] = np.r_[0, np.cumsum(series)]
         frame = frame[~frame.row_id.duplicated()]  # a second delivery lies beside the first
+        own = ~frame.context.values
         number, size = _runs(frame.value.values, frame.number.values)
         source = frame.source.values
         starts = np.r_[0, np.cumsum(size)[:-1]] if len(size) else np.array([], int)
-        for (name, length), n in pd.DataFrame({"s": source[starts], "n": size}).groupby(["s", "n"], dropna=False).size().items():
+        begun = own[starts]
+        for (name, length), n in pd.DataFrame({"s": source[starts][begun], "n": size[begun]}).groupby(["s", "n"], dropna=False).size().items():
             add("run", name, float(length), int(n))
         length = size[number]
-        long = length >= rule.stuck_least
+        long = (length >= rule.stuck_least) & own
         yield from emit("stuck", source[long], frame.row_id.values[long], length[long].astype(float))
 
         plain = frame[frame.plausible.values].sort_values(["number", "regime"], kind="stable")
@@ -117,14 +145,15 @@ def _profile(rule: SpikeRule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             value = np.log(plain.value.values)
             group = np.cumsum(np.r_[0, (plain.number.values[1:] != plain.number.values[:-1]) | (plain.regime.values[1:] != plain.regime.values[:-1])])
             score = spike_scores(value, group, rule)
-            off = score > 0
+            mine = ~plain.context.values
+            off = (score > 0) & mine
             yield from emit("spike", plain.source.values[off], plain.row_id.values[off], score[off])
             # The usual scatter is that between values, however long each is held: one value a run.
             first = np.r_[True, (group[1:] != group[:-1]) | (value[1:] != value[:-1])]
             own, of = value[first], group[first]
             around = np.r_[np.arange(-rule.longest, 0), np.arange(1, rule.longest + 1)]
             deviation = np.abs(own - _windows(own, of, around, np.arange(len(own))))
-            known = ~np.isnan(deviation)
+            known = ~np.isnan(deviation) & mine[first]
             binned = np.floor(np.maximum(np.log(np.maximum(deviation[known], 1e-12)), _LOWEST) * BINS)
             for (name, at), n in pd.DataFrame({"s": plain.source.values[first][known], "b": binned}).groupby(["s", "b"], dropna=False).size().items():
                 add("deviation", name, float(at), int(n))
@@ -144,15 +173,20 @@ def _profile(rule: SpikeRule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             continue
         if held and held[-1].row_id.values[-1] == frame.row_id.values[0]:
             frame = frame.iloc[1:]
-        held.append(frame)
+        held.append(frame.assign(context=False))
         rows += len(frame)
-        if rows >= 50_000 and len(frame):
+        if rows >= PIECE and len(frame):
             frame = pd.concat(held, ignore_index=True)
-            other = np.nonzero(frame.series.values != frame.series.values[-1])[0]
+            other = np.nonzero((frame.series.values != frame.series.values[-1]) | (frame.source.values != frame.source.values[-1]))[0]
             cut = int(other[-1]) + 1 if len(other) else 0
-            held, rows = [frame.iloc[cut:]], 0
-            if cut:
-                yield from work(frame.iloc[:cut].copy())
+            if len(frame) - cut < PIECE:
+                held, rows = [frame.iloc[cut:]], 0
+                if cut:
+                    yield from work(frame.iloc[:cut].copy())
+            else:  # one series that is longer than a piece
+                rest = _continued(frame.iloc[cut:], rule)
+                yield from work(pd.concat([frame.iloc[:cut], rest[0]]).copy())
+                held, rows = [rest[1]], len(rest[1])
     if held:
         yield from work(pd.concat(held, ignore_index=True))
     if counts:
@@ -178,12 +212,12 @@ def implausible_in_series(frame: DataFrame, *, row: str, source: str, series: li
     column, regime or time is a value like any other; rows with a null id are left out; a second delivery of a row id
     counts once (deliveries of one id must agree in series and time). An empty table gives an empty result.
 
-    A series has one observation a day, so what one task must hold together is bounded by the days observed, and hot
-    sources, markets and items spread over their series. Repeated deliveries are dropped while rows stream in. What is
+    Hot sources, markets and items spread over their series; a series of more than PIECE rows is judged in overlapping pieces,
+    so what a task holds is bounded. Repeated deliveries are dropped while rows stream in. What is
     usual for a source is the median of histograms that tasks fill and Spark adds up.
     """
     rows = frame.select(
-        F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in series]).alias("series"), F.col(source).alias("source"),
+        F.to_json(F.array(*[F.col(c).cast("string") for c in series])).alias("series"), F.col(source).alias("source"),
         F.col(at).alias("at"), F.col(row).alias("row_id"), F.coalesce(F.col(regime).cast("int"), F.lit(-1)).alias("regime"),
         value.alias("value"), F.coalesce(~impossible, F.lit(True)).alias("plausible"),
     ).where("value is not null and not isnan(value) and row_id is not null")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricelode.functions import numbers, text
 from pricelode.operators import relational as R
+from pricelode.plans.markets import fx
 from pricelode.session import table
 from pricelode.sources.sinks import nested_map
 
@@ -24,8 +25,16 @@ def query(sql: str):
     return keep
 
 
+# Fixed values of the SQL: letters and what each folds to, and the endings of stems, written out apart from the library's.
+_LETTERS = "áäâàãåāăąǎảạắằẳặấầẩẫậæčçćĉċďđðéěëèêēęėĕẻẽẹếềểễệğģġħíïìîīıįǐỉĩịķľĺłļňñńņóöòôõøōőơǒỏọốồổỗộớờởỡợřŕšśşșŝťþţțúůüùûūűưųǔǚủũụứừửữựýÿỳỷỹỵžżź"
+_PLAIN = "aaaaaaaaaaaaaaaaaaaaaacccccdddeeeeeeeeeeeeeeeeeggghiiiiiiiiiiikllllnnnnoooooooooooooooooooooorrsssssttttuuuuuuuuuuuuuuuuuuuyyyyyyzzz"
+_CS = "ami|emi|ich|ech|ach|ata|ete|um|am|ou|em|im|ym|e|i|u|y|a|o"
+_PL = "ami|ach|iem|ich|owe|owy|owa|ego|emu|ych|ymi|ow|om|em|ie|ia|iu|ek|ka|ki|ko|e|i|u|y|a|o"
+_DE = "chen|lein|ern|en|er|es|em|st|e|n|s"
+
+
 def _fold_sql(c: str) -> str:
-    return f"trim(regexp_replace(translate(replace(replace(lower({c}), 'ß', 'ss'), 'œ', 'oe'), '{text.FOLD_FROM}', '{text.FOLD_TO}'), '[^a-z0-9]+', ' ', 'g'))"
+    return f"trim(regexp_replace(translate(replace(replace(lower({c}), 'ß', 'ss'), 'œ', 'oe'), '{_LETTERS}', '{_PLAIN}'), '[^a-z0-9]+', ' ', 'g'))"
 
 
 def _split(spark: SparkSession, root: str) -> DataFrame:
@@ -49,7 +58,7 @@ def token_counts(spark, root):
     return _split(spark, root)
 
 
-@query(f"SELECT token, regexp_replace(token, '{text.stem_pattern('cs')}', '\\1') AS cs, regexp_replace(token, '{text.stem_pattern('pl')}', '\\1') AS pl, regexp_replace(token, '{text.stem_pattern('de')}', '\\1') AS de FROM ({_SPLIT})")
+@query("SELECT token, " + ", ".join(f"regexp_replace(token, '^(.{{4,}}?)(?:{ends})$', '\\1') AS {name}" for name, ends in (("cs", _CS), ("pl", _PL), ("de", _DE))) + f" FROM ({_SPLIT})")
 def stem_text(spark, root):
     """Stems of title tokens by language."""
     return _split(spark, root).select("token", *[text.stem(F.col("token"), language).alias(language) for language in ("cs", "pl", "de")])
@@ -70,15 +79,15 @@ def prefix_join(spark, root):
     return R.blocked_prefix_pairs(_split(spark, root), words, "token", "word").select("token", "word", "n")
 
 
-@query("SELECT title AS title, min(offer_seq) AS offer_seq FROM (SELECT offer_seq, substr(trim(regexp_replace(title, '[\\s\\p{Z}]+', ' ', 'g')), 1, 80) AS title FROM offers) GROUP BY ALL")
+@query("SELECT title, substr(title, 1, 80) AS shown, min(offer_seq) AS offer_seq FROM (SELECT offer_seq, trim(regexp_replace(title, '[\\s\\p{Z}]+', ' ', 'g')) AS title FROM offers) GROUP BY title")
 def dedupe_first_seen(spark, root):
-    """The first offer of each title, white space collapsed."""
-    return table(spark, root, "offers").groupBy(text.collapse(F.col("title")).alias("title")).agg(F.min("offer_seq").alias("offer_seq"))
+    """The first offer of each whole title, white space collapsed; `shown` is cut for display."""
+    return table(spark, root, "offers").groupBy(text.collapse(F.col("title")).alias("title")).agg(F.min("offer_seq").alias("offer_seq")).withColumn("shown", text.shortened(F.col("title")))
 
 
 @query("SELECT offer_seq, outlet_id, ingredient_id, price_czk FROM (SELECT *, row_number() OVER (PARTITION BY outlet_id, ingredient_id ORDER BY price_czk, valid_to, title, offer_seq) AS k FROM offers WHERE ingredient_id IS NOT NULL) WHERE k <= 3")
 def top_three(spark, root):
-    """The three cheapest offers of each pair."""
+    """The three cheapest offers of each pair."""
     order = [F.col("price_czk").asc_nulls_last(), F.col("valid_to").asc_nulls_last(), F.col("title").asc_nulls_last(), F.col("offer_seq").asc()]
     return R.top_per_group(table(spark, root, "offers").where("ingredient_id is not null"), ["outlet_id", "ingredient_id"], order, 3).select("offer_seq", "outlet_id", "ingredient_id", "price_czk")
 
@@ -110,13 +119,19 @@ def carry_forward(spark, root):
     return R.carry_forward(daily.where(F.col("observed_on") == day), before, ["outlet_id", "ingredient_id"], day, 21)
 
 
-RULES = [(1, "(?i)green", "green"), (2, "(?i)^s", "starts_s"), (3, "[0-9]5$", "five"), (4, "(?i)e", "has_e")]
+#: ordinal, pattern, target, store, market: rules as people write them (the last can never be reached by Czech rows).
+RULES = [
+    (1, "re:mrazen|mrozon", "frozen", "*", "*"), (2, "bio", "organic_billa", "billa", "cz"), (3, "/^[0-9]/", "leading_number", None, None), (4, "sub:mas", "butter", "*", "cz"),
+    (5, "BIO", "organic", "*", "*"), (6, "Käse", "cheese", "*", "de"), (7, "sub:mas", "late", "*", "*"), (8, "  ", "nothing", "*", "*"),
+]
+_RULES_SQL = "(VALUES (1, 'mrazen|mrozon', 'frozen', '*', '*'), (2, '(^|[^a-z0-9])bio($|[^a-z0-9])', 'organic_billa', 'billa', 'cz'), (3, '^[0-9]', 'leading_number', '*', '*'), (4, 'mas', 'butter', '*', 'cz'), (5, '(^|[^a-z0-9])bio($|[^a-z0-9])', 'organic', '*', '*'), (6, '(^|[^a-z0-9])kase($|[^a-z0-9])', 'cheese', '*', 'de'), (7, 'mas', 'late', '*', '*')) r(ordinal, pattern, target, store, market)"
 
 
-@query("SELECT p_partkey, ordinal, target FROM (SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(?i)green') THEN 1 WHEN regexp_matches(p_name, '(?i)^s') THEN 2 WHEN regexp_matches(p_name, '[0-9]5$') THEN 3 WHEN regexp_matches(p_name, '(?i)e') THEN 4 END AS ordinal) t, (VALUES (1, 'green'), (2, 'starts_s'), (3, 'five'), (4, 'has_e')) r(o, target) WHERE o = ordinal".replace("END AS ordinal)", "END AS ordinal FROM part)"))
+@query(f"SELECT offer_seq, min(ordinal)::INTEGER AS ordinal, arg_min(target, ordinal) AS target FROM (SELECT o.offer_seq, r.ordinal, r.target FROM (SELECT *, {_fold_sql('title')} AS folded FROM offers) o JOIN {_RULES_SQL} ON r.store IN ('*', o.store) AND r.market IN ('*', o.market) AND regexp_matches(o.folded, r.pattern)) GROUP BY offer_seq")
 def first_match_rules(spark, root):
-    """The first of ordered patterns that a text matches, without J6's equality of store and market."""
-    return R.first_match(table(spark, root, "part"), "p_partkey", "p_name", RULES).select("p_partkey", "ordinal", "target")
+    """The first of ordered rules, of a title's store and market or of all, whose pattern it matches."""
+    rules = spark.createDataFrame(RULES, "ordinal int, pattern string, target string, store string, market string")
+    return R.first_match(table(spark, root, "offers").select("offer_seq", "title", "store", "market"), rules, text="title", store="store", market="market").select("offer_seq", "ordinal", "target")
 
 
 @query("SELECT coalesce(reason, 'ok') AS reason, count(*) AS n FROM (SELECT CASE WHEN NOT l_returnflag <> 'R' THEN 'returned' WHEN NOT l_discount <= 0.05 THEN 'discounted' WHEN NOT l_quantity < 40 THEN 'bulk' END AS reason FROM lineitem) GROUP BY ALL")
@@ -126,11 +141,14 @@ def skip_reasons(spark, root):
     return table(spark, root, "lineitem").groupBy(F.coalesce(reason, F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_extendedprice / l_quantity BETWEEN p_retailprice * 0.5 AND p_retailprice * 1.5")
+@query("SELECT match_seq, ingest_ts, m.market, CASE WHEN ref > 0 THEN czk_per_kg < ref * 0.2 OR czk_per_kg > ref * 4 ELSE false END AS flagged FROM matched_rows m JOIN (VALUES ('cz', 1.0), ('sk', 0.041), ('de', 0.041), ('at', 0.041), ('pl', 0.17)) f(market, fx) ON f.market = m.market LEFT JOIN (SELECT id, ref_price_czk_per_kg FROM catalogue) c ON c.id = ingredient_id, LATERAL (SELECT ref_price_czk_per_kg * fx AS ref) WHERE czk_per_kg > 0 AND czk_per_kg <= 50000 * fx AND coalesce(czk_per_kg BETWEEN ref * 0.1 AND ref * 10, true)")
 def outlier_band(spark, root):
-    """Rows within a band around a reference of their dimension."""
-    joined = table(spark, root, "lineitem").join(table(spark, root, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    return joined.where((F.col("l_extendedprice") / F.col("l_quantity")).between(F.col("p_retailprice") * 0.5, F.col("p_retailprice") * 1.5)).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    """Readings within a wide band around the reference of their item, where one is known, in the market's currency;
+    those outside a narrow band are kept with a flag."""
+    rows = table(spark, root, "matched_rows").join(table(spark, root, "catalogue").select("id", "ref_price_czk_per_kg"), F.col("ingredient_id") == F.col("id"), "left").withColumn("fx", fx(F.col("market"))).withColumn("ref", F.col("ref_price_czk_per_kg") * F.col("fx"))
+    value, ref = F.col("czk_per_kg"), F.col("ref")
+    kept = rows.where((value > 0) & (value <= 50_000 * F.col("fx")) & F.coalesce(value.between(ref * 0.1, ref * 10), F.lit(True)))
+    return kept.select("match_seq", "ingest_ts", "market", F.when(ref > 0, (value < ref * 0.2) | (value > ref * 4)).otherwise(F.lit(False)).alias("flagged"))
 
 
 def _day_sql(c: str) -> str:
@@ -139,7 +157,7 @@ def _day_sql(c: str) -> str:
 
 @query(f"SELECT offer_seq FROM offers WHERE coalesce({_day_sql('valid_from')} <= DATE '2026-07-01', true) AND coalesce({_day_sql('valid_to')} >= DATE '2026-07-01', true)")
 def validity_current(spark, root):
-    """Validity intervals that hold a day; an end that is null or no date is open."""
+    """Validity intervals that hold a day; an end that is null or no date is open."""
     day, parse = F.lit("2026-07-01").cast("date"), lambda c: F.try_to_timestamp(F.when(F.col(c).rlike(r"^\d{4}-\d\d-\d\d$"), F.col(c)), F.lit("yyyy-MM-dd")).cast("date")
     return table(spark, root, "offers").where(F.coalesce(parse("valid_from") <= day, F.lit(True)) & F.coalesce(parse("valid_to") >= day, F.lit(True))).select("offer_seq")
 
@@ -161,8 +179,8 @@ def source_outer(spark, root):
 def store_frame(spark, root):
     """Every member of a dimension with its count, 0 where there is none."""
     customer = table(spark, root, "customer")
-    segments = customer.agg(F.collect_set("c_mktsegment").alias("s"))
-    frame = table(spark, root, "nation").select("n_nationkey", F.explode(F.array(*[F.lit(s) for s in sorted(segments.first().s)])).alias("c_mktsegment"))
+    segments = customer.agg(F.array_sort(F.collect_set("c_mktsegment"))).scalar()
+    frame = table(spark, root, "nation").select("n_nationkey", F.explode(segments).alias("c_mktsegment"))
     counts = customer.groupBy(F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment").agg(F.count("*").alias("n"))
     return R.complete(counts, frame, ["n_nationkey", "c_mktsegment"], "n")
 
@@ -177,8 +195,8 @@ def status_pivot(spark, root):
 @query("SELECT store, ingredient_id, per_kg FROM (SELECT store, ingredient_id, median(czk_per_kg) AS per_kg FROM matched_rows GROUP BY ALL) WHERE per_kg IS NOT NULL")
 def nested_price_map(spark, root):
     """A nested map built and flattened again."""
-    medians = table(spark, root, "matched_rows").groupBy("store", "ingredient_id").agg(F.median("czk_per_kg").alias("per_kg")).where("per_kg is not null")
-    return nested_map(medians, ["store"], "ingredient_id", F.col("per_kg")).select("store", F.explode("values").alias("ingredient_id", "per_kg"))
+    each = R.medians(table(spark, root, "matched_rows"), ["store", "ingredient_id"], "czk_per_kg").withColumnRenamed("median", "per_kg")
+    return nested_map(each, ["store"], "ingredient_id", F.col("per_kg")).select("store", F.explode("values").alias("ingredient_id", "per_kg"))
 
 
 @query("SELECT market, run_date, status, ok FROM (SELECT *, row_number() OVER (PARTITION BY market, run_date ORDER BY generated_at DESC) AS k, dense_rank() OVER (PARTITION BY market ORDER BY run_date DESC) AS r FROM run_history) WHERE k = 1 AND r <= 14")
@@ -196,13 +214,13 @@ def last_good_run(spark, root):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def props_json(spark, root):
-    """A field of JSON text."""
+    """M8: a field of JSON text."""
     return table(spark, root, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
 @query("SELECT offer_seq, tag FROM (SELECT offer_seq, unnest(from_json(raw -> '$.tags', '[\"VARCHAR\"]')) AS tag FROM offers)")
 def json_tags(spark, root):
-    """A list inside JSON text, one row an element."""
+    """M1, M7: a list inside JSON text, one row an element."""
     return table(spark, root, "offers").select("offer_seq", F.explode(F.from_json("raw", "tags array<string>")["tags"]).alias("tag"))
 
 
@@ -260,7 +278,7 @@ def ambiguity_margin(spark, root):
 
 @query("SELECT 'bad_date' AS rule, offer_seq FROM offers WHERE valid_to < valid_from UNION ALL SELECT 'no_price', offer_seq FROM offers WHERE price_czk IS NULL OR price_czk <= 0 UNION ALL SELECT 'unknown_item', offer_seq FROM offers WHERE ingredient_id IS NOT NULL AND ingredient_id NOT IN (SELECT id FROM catalogue) UNION ALL SELECT 'no_title', offer_seq FROM offers WHERE trim(coalesce(title, '')) = ''")
 def validation_errors(spark, root):
-    """V2, V3, V6: four fixed checks (no schema as in V1), one row per broken rule and row, in one pass but for membership."""
+    """V2: four fixed checks (no schema as in V1), one row per broken rule and row, in one pass but for membership."""
     offers = table(spark, root, "offers").select("offer_seq", "valid_from", "valid_to", "price_czk", "ingredient_id", "title")
     checks = F.array_compact(F.array(
         F.when(F.col("valid_to") < F.col("valid_from"), F.lit("bad_date")), F.when(F.col("price_czk").isNull() | (F.col("price_czk") <= 0), F.lit("no_price")), F.when(F.trim(F.coalesce("title", F.lit(""))) == "", F.lit("no_title"))))
@@ -278,19 +296,19 @@ def rule_merge(spark, root):
 
 @query("SELECT store, source FROM offers UNION SELECT store, source FROM matched_rows")
 def union_sources(spark, root):
-    """Distinct rows of two tables put together."""
+    """Distinct rows of two tables put together."""
     return table(spark, root, "offers").select("store", "source").unionByName(table(spark, root, "matched_rows").select("store", "source")).distinct()
 
 
 @query("SELECT ingredient_id FROM (SELECT id AS ingredient_id FROM catalogue EXCEPT SELECT ingredient_id FROM build_report)")
 def set_difference(spark, root):
-    """Members of one set that the other has not."""
+    """Members of one set that the other has not."""
     return table(spark, root, "catalogue").select(F.col("id").alias("ingredient_id")).exceptAll(table(spark, root, "build_report").select("ingredient_id").distinct())
 
 
 @query("SELECT result_id, cat_name, slug FROM (SELECT result_id, unnest(flatten(parent_categories)) AS c FROM (SELECT DISTINCT result_id, parent_categories FROM penny_results)), (SELECT 1) x".replace("SELECT result_id, cat_name, slug", "SELECT result_id, c.cat_name AS cat_name, c.slug AS slug"))
 def category_names(spark, root):
-    """Nested lists of structs, flattened."""
+    """M7: nested lists of structs, flattened."""
     return table(spark, root, "penny_results").select("result_id", "parent_categories").distinct().select("result_id", F.explode(F.flatten("parent_categories")).alias("c")).select("result_id", "c.cat_name", "c.slug")
 
 
@@ -304,9 +322,7 @@ def minor_unit_offers(spark, root):
 
 @query("SELECT offer_seq, market, lower(trim(store)) AS store, coalesce(nullif(trim(unit), ''), 'none') AS unit, coalesce(is_promo, original_price_czk > price_czk, false) AS promo, round(price_czk / CASE market WHEN 'cz' THEN 1 WHEN 'pl' THEN 0.17 ELSE 0.041 END, 6) AS price_home FROM offers")
 def offer_projection(spark, root):
-    """Fields brought to one form; the first that is present wins; prices in one currency."""
-    from pricelode.plans.markets import fx
-
+    """Fields brought to one form; the first that is present wins; prices in one currency."""
     return table(spark, root, "offers").select(
         "offer_seq", "market", F.lower(F.trim("store")).alias("store"), F.coalesce(F.nullif(F.trim("unit"), F.lit("")), F.lit("none")).alias("unit"),
         F.coalesce("is_promo", F.col("original_price_czk") > F.col("price_czk"), F.lit(False)).alias("promo"), F.round(F.col("price_czk") / fx(F.col("market")), 6).alias("price_home"))
@@ -321,27 +337,25 @@ def page_fields(spark, root):
 
 @query("""SELECT offer_seq, CASE WHEN regexp_matches(lower(title), '(akce|promocja|akcia|aktion)') THEN 'word' WHEN is_promo THEN 'flag' WHEN original_price_czk > price_czk THEN 'price' WHEN coalesce(CAST(raw -> '$.discountPercentage' AS VARCHAR), 'null') <> 'null' THEN 'discount' ELSE 'none' END AS why FROM offers""")
 def promo_flag(spark, root):
-    """The first of ordered signs that a row shows."""
+    """the first of ordered signs that a row shows."""
     discount = F.get_json_object("raw", "$.discountPercentage")
     return table(spark, root, "offers").select("offer_seq", F.when(F.lower("title").rlike("(akce|promocja|akcia|aktion)"), "word").when(F.col("is_promo"), "flag")
         .when(F.col("original_price_czk") > F.col("price_czk"), "price").when(discount.isNotNull(), "discount").otherwise("none").alias("why"))
 
 
-def _some_start(q: str):
-    return F.exists("parts", lambda t: t.startswith(q))
+_SEARCH = {"syr": "syr", "eid": "eid"}
+_SCORE = " + ".join(f"CASE WHEN list_contains(parts, '{q}') THEN 3.0 WHEN len(list_filter(parts, lambda x: starts_with(x, '{q}'))) > 0 THEN 1.5 ELSE 0 END" for q in _SEARCH)
+_ALL = " AND ".join(f"len(list_filter(parts, lambda x: starts_with(x, '{q}'))) > 0" for q in _SEARCH)
 
 
-@query(f"""SELECT id, score FROM (SELECT id, {' + '.join(f"CASE WHEN list_contains(parts, '{q}') THEN 30 WHEN len(list_filter(parts, lambda x: starts_with(x, '{q}'))) > 0 THEN 15 ELSE 0 END" for q in ('syr', 'eid'))} - len(parts) AS score FROM (SELECT id, string_split({_fold_sql("concat_ws(' ', id, name_cs, array_to_string(aliases, ' '))")}, ' ') AS parts FROM catalogue)) WHERE score > 0 ORDER BY score DESC, id LIMIT 10""")
+@query(f"""SELECT id, round(score, 6) AS score FROM (SELECT id, {_SCORE} + CASE WHEN {_ALL} THEN 2 ELSE 0 END + CASE WHEN list_contains(names, 'syr eid') THEN 5 WHEN len(list_filter(names, lambda x: starts_with(x, 'syr eid'))) > 0 THEN 1 ELSE 0 END - 0.02 * len(parts) AS score
+FROM (SELECT id, list_distinct(flatten(list_transform(names, lambda x: string_split(x, ' ')))) AS parts, names FROM (SELECT id, list_filter([{_fold_sql('id')}, {_fold_sql('name_cs')}], lambda x: x IS NOT NULL) || list_transform(coalesce(aliases, []), lambda a: {_fold_sql('a')}) AS names FROM catalogue))) WHERE score > 0 ORDER BY score DESC, id LIMIT 10""")
 def catalogue_search(spark, root):
-    """The ten best entries for a search (the limit is the feature): whole words 30, beginnings 15, less one a word.
-
-    Of R8 it has only the part a token; its additions for all tokens, full equality and a prefix are not built.
-    """
-    parts = F.split(text.fold(F.concat_ws(" ", "id", "name_cs", F.array_join("aliases", " "))), " ")
-    score = -F.size("parts")
-    for q in ("syr", "eid"):
-        score = score + F.when(F.array_contains("parts", q), 30).when(_some_start(q), 15).otherwise(0)
-    return table(spark, root, "catalogue").withColumn("parts", parts).select("id", score.alias("score")).where("score > 0").orderBy(F.desc("score"), "id").limit(10)
+    """The ten best entries for a search (the limit is the feature): 3 a whole word, 1.5 a beginning, 2 more if all words are
+    there, 5 more if a name is the search, 1 if one begins with it, 0.02 less a word."""
+    names = F.concat(F.array_compact(F.array(text.fold(F.col("id")), text.fold(F.col("name_cs")))), F.transform(F.coalesce("aliases", F.array().cast("array<string>")), text.fold))
+    entries = table(spark, root, "catalogue").withColumn("names", names).withColumn("parts", F.array_distinct(F.flatten(F.transform("names", lambda n: F.split(n, " ")))))
+    return R.search(entries, "syr eid", "names", "parts").select("id", F.round("score", 6).alias("score")).where("score > 0").orderBy(F.desc("score"), "id").limit(10)
 
 
 @query("SELECT user_id, n, round(taste, 4) AS taste, place FROM (SELECT *, row_number() OVER (ORDER BY taste DESC, n DESC, user_id) AS place FROM (SELECT user_id, count(*) AS n, CAST(avg(CAST(least(greatest(value, 0), 5) AS DECIMAL(20, 6))) AS DOUBLE) AS taste FROM events GROUP BY ALL HAVING count(value) >= 5))")

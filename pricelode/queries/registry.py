@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelode.queries import problems, reference
+from pricelode.queries import parsing, problems, reference
 
-QUERIES = {**problems.QUERIES, **reference.QUERIES}
-SQL = {**problems.SQL, **reference.SQL}
+QUERIES = {**problems.QUERIES, **reference.QUERIES, **parsing.QUERIES}
+SQL = {**problems.SQL, **reference.SQL, **parsing.SQL}

@@ -54,4 +54,19 @@ def test_stream_keeps_state(spark, tmp_path):
     run()
     spark.createDataFrame([("a", 7, 8)], "e string, day_from int, day_to int").write.mode("append").parquet(source)
     run()
-    assert {r.periods for r in spark.read.parquet(f"{out}/1").where("entity = 'a'").collect()} == {"[[1, 5], [7, 8]]"}
+    assert {tuple(r) for r in spark.read.parquet(f"{out}/1").collect()} == {("a", "period", 1, 5), ("a", "period", 7, 8), ("a", "gap", 6, 6)}
+
+
+def test_upserts_survive_repeats_and_failures(spark, tmp_path):
+    from pricelode.streaming.history import compact, upsert_batches, upserted
+
+    path, schema = str(tmp_path / "state"), "k int, at int, v string"
+    write = upsert_batches(path)
+    write(spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (1, 4, "old")], schema), 0)
+    write(spark.createDataFrame([(1, 6, "new"), (2, 5, "tie"), (3, None, "x")], schema), 1)
+    write(spark.createDataFrame([(1, 6, "new"), (2, 5, "tie"), (3, None, "x")], schema), 1)  # run again
+    (tmp_path / "state" / "batch=2" / "_temporary").mkdir(parents=True)  # a batch that failed
+    wanted = {(1, 6, "new"), (2, 5, "tie"), (3, None, "x")}
+    assert {tuple(r) for r in upserted(spark, path, ["k"], "at").collect()} == wanted
+    compact(spark, path, str(tmp_path / "next"), ["k"], "at")
+    assert {tuple(r) for r in upserted(spark, str(tmp_path / "next"), ["k"], "at").collect()} == wanted

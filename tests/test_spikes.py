@@ -61,3 +61,32 @@ def test_stretches(spark):
     rows = [(1, 1, 10.0), (2, 1, 10.0), (3, 1, 10.04), (4, 1, 30.0), (5, 1, None), (6, 2, 1.45), (7, 2, 1.4), (8, 2, 1.45), (4, 1, 30.0), (9, None, 5.0)]
     out = implausible_in_stretches(spark.createDataFrame(rows, "id int, k int, v double"), row="id", stretch=["k"], value=F.col("v"), impossible=F.col("v") <= 0)
     assert [(r.row_id, r.why) for r in out.collect()] == [(4, "stray")]
+
+
+def test_a_long_series_is_judged_in_pieces(spark, monkeypatch):
+    """The verdicts on one series do not depend on where its pieces end."""
+    from pricelode.operators import spikes
+
+    random = np.random.default_rng(3)
+    values = list(np.round(100 * np.exp(random.normal(0, 0.03, 3000)), 2))
+    for at in range(40, 3000, 97):
+        values[at:at + 1 + at % 3] = [900.0 + at + k for k in range(1 + at % 3)]
+    for at in range(300, 2900, 500):
+        values[at:at + 25] = [77.77] * 25
+    rows = _series(spark, values)
+    whole = _found(spark, rows)
+    assert sum(why == "stuck" for _, why in whole) >= 25 * 5
+    import pandas as pd
+    import pyarrow as pa
+
+    frame = pd.DataFrame({"series": "x", "source": "s", "row_id": np.arange(3000), "regime": 0, "value": values, "plausible": True})
+
+    def verdicts(piece):
+        monkeypatch.setattr(spikes, "PIECE", piece)
+        batches = [pa.RecordBatch.from_pandas(frame.iloc[a:a + 70], preserve_index=False) for a in range(0, 3000, 70)]
+        out = pd.concat([b.to_pandas() for b in spikes._profile(SpikeRule(), iter(batches))])
+        per_row = out[out.kind.isin(["spike", "stuck"])].sort_values(["kind", "row_id"])[["kind", "row_id", "metric"]].values.tolist()
+        counts = out[~out.kind.isin(["spike", "stuck"])].groupby(["kind", "metric"]).weight.sum().to_dict()
+        return per_row, counts
+
+    assert verdicts(200) == verdicts(10**6)
