@@ -108,7 +108,7 @@ def pack_texts(spark, root):
 @query(r"""SELECT doc_id, line_no, CAST(replace(p.c, ',', '.') AS DOUBLE) AS price, CAST(replace(p.a, ',', '.') AS DOUBLE) AS amount, p.b AS unit FROM (SELECT doc_id, line_no, regexp_extract(line, '^([0-9]+(?:[.,][0-9]+)?)\s*(kg|g|ml|l)\s*=\s*([0-9]+(?:[.,][0-9]+)?)\s*(?:Kč|€|zł)$', ['a', 'b', 'c']) AS p FROM (SELECT doc_id, unnest(string_split_regex(text, '\n')) AS line, generate_subscripts(string_split_regex(text, '\n'), 1) AS line_no FROM documents WHERE doc_type = 'leaflet_page')) WHERE p.a <> ''""")
 def unit_price_lines(spark, root):
     """Lines of leaflet pages that are nothing but a unit price ("1 kg = 43 Kč")."""
-    lines = table(spark, root, "documents").where("doc_type = 'leaflet_page'").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(F.col("line").rlike(r"^\d+(?:[.,]\d+)?[ \t\r\f]*(?:kg|g|ml|l)[ \t\r\f]*=[ \t\r\f]*\d+(?:[.,]\d+)?[ \t\r\f]*(?:Kč|€|zł)$"))
+    lines = table(spark, root, "documents").where("doc_type = 'leaflet_page'").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(F.col("line").rlike(r"^\d+(?:[.,]\d+)?[ \t\r\f]*(?:kg|g|ml|l)[ \t\r\f]*=[ \t\r\f]*\d+(?:[.,]\d+)?[ \t\r\f]*(?:Kč|€|zł)\z"))
     found = prices.unit_price(F.col("line"))
     return lines.select("doc_id", (F.col("at") + 1).alias("line_no"), found["price"].alias("price"), found["amount"].alias("amount"), found["unit"].alias("unit"))
 
