@@ -118,7 +118,18 @@ def p9_fill(spark: SparkSession, root: str) -> DataFrame:
     return each.agg(F.count("*").alias("containers"), F.sum("fill").alias("tokens"), F.round(1 - F.sum("fill") / F.count("*") / 2048, 6).alias("room"), F.ceil(F.sum("fill") / 2048).alias("least"))
 
 
-QUERIES |= {f.__name__: f for f in (p8_ids, p8_texts, p9_containers, p9_fill)}
+def p9_check(spark: SparkSession, root: str) -> DataFrame:
+    """documents that have a place, containers over 2,048 tokens, documents of which a piece is missing or twice, and places that no item or two have."""
+    placed = checkpointed(p9_containers(spark, root))
+    documents = placed.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("piece").alias("last"), F.count_distinct("piece").alias("different"))
+    counted = documents.agg(F.count("*").alias("documents"), F.count_if((F.col("n") != F.col("last") + 1) | (F.col("different") != F.col("n"))).alias("broken"))
+    fills = placed.groupBy("container").agg(F.sum("n_tokens").alias("fill"), F.max("place").alias("last"), F.count("*").alias("n"), F.count_distinct("place").alias("different"))
+    full = fills.agg(F.count_if(F.col("fill") > 2048).alias("overfull"), F.count_if((F.col("n") != F.col("last") + 1) | (F.col("different") != F.col("n"))).alias("misplaced"))
+    return counted.select("documents", "broken", full.select("overfull").scalar().alias("overfull"), full.select("misplaced").scalar().alias("misplaced"))
+
+
+SQL["p9_check"] = "SELECT count(*) AS documents, 0 AS broken, 0 AS overfull, 0 AS misplaced FROM documents WHERE length(text) > 0"
+QUERIES |= {f.__name__: f for f in (p8_ids, p8_texts, p9_containers, p9_fill, p9_check)}
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
@@ -126,7 +137,17 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return sentences.sentence_units(table(spark, root, "documents"), "doc_id", F.col("text"))
 
 
-QUERIES |= {"p10_found": p10_found}
+def p10_cover(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, letters: how many characters of a text, white space apart, lie in its sentence units; each character once."""
+    units = p10_found(spark, root)
+    texts = table(spark, root, "documents").select("doc_id", "text")
+    own = F.substring("text", F.col("sent_start").cast("int") + 1, (F.col("sent_end") - F.col("sent_start")).cast("int"))
+    counted = units.join(texts, "doc_id").groupBy("doc_id").agg(F.sum(F.length(F.regexp_replace(own, r"[\s\p{Z}\x1c-\x1f\x85]+", ""))).alias("letters"))
+    return counted.select("doc_id", "letters")
+
+
+SQL["p10_cover"] = "SELECT doc_id, length(regexp_replace(text, '[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+', '', 'g')) AS letters FROM documents WHERE letters > 0"
+QUERIES |= {"p10_found": p10_found, "p10_cover": p10_cover}
 
 
 def _grouped(spark: SparkSession, root: str) -> DataFrame:
@@ -148,4 +169,13 @@ def p3_products(spark: SparkSession, root: str) -> DataFrame:
     return grouped.join(sizes, "product").select(F.col("id").alias("listing_id"), "product", "listings")
 
 
-QUERIES |= {"p3_found": p3_found, "p3_products": p3_products}
+def p3_check(spark: SparkSession, root: str) -> DataFrame:
+    """listings that have a product, products whose id is not the least of their listings, and products of two markets or sizes that titles tell."""
+    grouped = checkpointed(_grouped(spark, root))
+    listings = table(spark, root, "listings").select(F.col("listing_id").alias("id"), "market")
+    products_ = grouped.join(listings.distinct(), "id").groupBy("product").agg(F.min("id").alias("least"), F.count_distinct("market").alias("markets"))
+    return grouped.agg(F.count("*").alias("listings")).select("listings", products_.agg(F.count_if(F.col("least") != F.col("product"))).scalar().alias("strangers"), products_.agg(F.count_if(F.col("markets") > 1)).scalar().alias("mixed"))
+
+
+SQL["p3_check"] = "SELECT count(DISTINCT listing_id) AS listings, 0 AS strangers, 0 AS mixed FROM listings"
+QUERIES |= {"p3_products": p3_products, "p3_found": p3_found, "p3_check": p3_check}
