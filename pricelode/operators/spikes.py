@@ -202,6 +202,11 @@ def _usual(profile: DataFrame, kind: str) -> DataFrame:
     return ranked.where("upto * 2 >= total").groupBy("source").agg(F.min("metric").alias("usual"))
 
 
+def _joined(columns: list[str]) -> Column:
+    """The columns as one text that no other values make: each after its length, a null without one."""
+    return F.concat(*[F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")) for text in (F.col(c).cast("string") for c in columns)])
+
+
 def implausible_in_series(frame: DataFrame, *, row: str, source: str, series: list[str], regime: str, at: str, value: Column, impossible: Column, rule: SpikeRule = SpikeRule()) -> DataFrame:
     """row_id, why (`spike` or `stuck`) of readings that cannot be right for their source at their place; each row and why once.
 
@@ -217,7 +222,7 @@ def implausible_in_series(frame: DataFrame, *, row: str, source: str, series: li
     usual for a source is the median of histograms that tasks fill and Spark adds up.
     """
     rows = frame.select(
-        F.to_json(F.array(*[F.col(c).cast("string") for c in series])).alias("series"), F.col(source).alias("source"),
+        _joined(series).alias("series"), F.col(source).alias("source"),
         F.col(at).alias("at"), F.col(row).alias("row_id"), F.coalesce(F.col(regime).cast("int"), F.lit(-1)).alias("regime"),
         value.alias("value"), F.coalesce(~impossible, F.lit(True)).alias("plausible"),
     ).where("value is not null and not isnan(value) and row_id is not null")
