@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelode.functions import prices
+
 _PRICE = regex.compile(r"(?<![\d.,])(\d{1,5}(?:[.,]\d{1,2})?)\s*(?:Kč|€|zł)(?!\p{L})", regex.I)
 _EQUALS = regex.compile(r"^\s*(.+?)\s*=\s*(\d+(?:[.,]\d+)?)\s*(?:Kč|€|zł)\s*$", regex.I)
 _BULLET = regex.compile(r"^\s*[•–*-]\s*(.+)$")
@@ -251,3 +253,44 @@ def parse_products(pages: DataFrame, row: str, text: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], wanted) for k, wanted in enumerate([batch.column(0).type, *_ARROW])], ["id", "product_no", "title", *_PARTS])
 
     return pages.select(F.col(row).alias("id"), text.alias("text")).mapInArrow(parse, f"id {kind}, {PRODUCT_SCHEMA}").withColumnRenamed("id", row)
+
+
+def leaflet_offers(products: DataFrame, keys: list[str], lowest: float = 5.0, highest: float = 5000.0) -> DataFrame:
+    """The keys, variant (0 plain, 1 club), title, price, per_kg, unit, amount, original and confidence of parsed products (see parse_products).
+
+    A product counts if its title has four letters and a pack or a unit price is told. Confidence is high where price and pack
+    agree with the unit price, medium where the unit price alone, or the old price less its discount, tells the price, else
+    low; a price that is the club's gives way to the one that follows from the unit price. The club offer stands only where it
+    is cheaper. Unit prices outside the bounds are misread and give no offer; without a pack of known mass the offer is for a kilogram.
+    """
+    c = F.col
+    rows = products.where((F.length("title") >= 4) & (c("pack_quantity").isNotNull() | c("per_kg").isNotNull() | c("per_kg_club").isNotNull()))
+    rows = rows.withColumn("_kg", prices.kg_of(F.struct(c("pack_quantity").alias("amount"), c("pack_unit").alias("unit")), c("title"))).withColumn("_by_pack", c("price") / c("_kg"))
+    known, agrees = c("per_kg").isNotNull(), prices.close(c("per_kg"), c("_by_pack"))
+    of_club = known & ~agrees & prices.close(c("per_kg_club"), c("_by_pack"))
+    rows = rows.withColumn("_of_club", of_club).withColumn("_own", F.when(of_club, None).otherwise(c("price"))).withColumn("_club", F.when(of_club, c("price")).otherwise(c("price_club")))
+    follows = F.when(known & (c("_own").isNull() | (c("_by_pack").isNotNull() & ~agrees)), F.round(c("per_kg") * c("_kg"), 2)).otherwise(c("_own"))
+    discounted = prices.close(c("old_price") * (1 - c("discount_pct") / 100), c("price"))
+    confidence = F.when(c("pack_quantity").isNull(), "low").when(agrees, "high").when(known, "medium").when(c("_by_pack").isNotNull() & discounted, "medium").otherwise("low")
+    rows = rows.withColumn("_price", follows).withColumn("_per", F.coalesce("per_kg", "_by_pack")).withColumn("confidence", confidence)
+    rows = rows.where((c("_per").isNotNull() & (known | c("price").isNotNull())) | c("per_kg_club").isNotNull()).where(c("_per").isNull() | c("_per").between(lowest, highest))
+    club_per = F.coalesce("per_kg_club", c("_club") / c("_kg"))
+    rows = rows.withColumn("_club_per", club_per).withColumn("_club_price", F.coalesce("_club", F.round(club_per * c("_kg"), 2)))
+
+    def offer(variant: int, price: Column, per: Column) -> Column:
+        whole = price.isNotNull()
+        return F.struct(F.lit(variant).alias("variant"), F.when(whole, price).otherwise(F.round(per, 2)).alias("price"), per.alias("per_kg"), F.when(whole, c("pack_unit")).otherwise("kg").alias("unit"), F.when(whole, c("pack_quantity")).otherwise(1.0).alias("amount"))
+
+    plain = F.when(c("_per").isNotNull(), offer(0, c("_price"), c("_per")))
+    club = F.when(c("_club_per").between(lowest, highest) & F.coalesce(c("_club_per") < c("_per"), F.lit(True)), offer(1, c("_club_price"), c("_club_per")))
+    return rows.select(*keys, "title", c("old_price").alias("original"), "confidence", F.explode(F.array_compact(F.array(plain, club))).alias("_o")).select(*keys, "_o.variant", "title", "_o.price", "_o.per_kg", "_o.unit", "_o.amount", "original", "confidence")
+
+
+def spread_offers(frame: DataFrame, keys: list[str], spreads: Column) -> DataFrame:
+    """leaflet_offers of all pages of leaflet spreads (JSON), with spread, page and product_no."""
+    from pricelode.sources.payloads import spread_pages
+
+    pages = spread_pages(frame, keys, spreads).withColumn("_page", F.to_json(F.struct(*keys, "spread", "page")))
+    found = parse_products(pages, "_page", F.col("text"))
+    placed = found.join(pages.drop("text"), "_page").drop("_page")
+    return leaflet_offers(placed, [*keys, "spread", "page", "product_no"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelode.functions.text import fold, fold_plain
 from pricelode.operators.relational import numbered, top_per_group
 
 
@@ -142,3 +143,33 @@ def latest(frame: DataFrame, by: list[str], at: str, n: int) -> DataFrame:
     """The n last rows of each group, by a time; of equal times any order that is the same each run."""
     order = Window.partitionBy(*by).orderBy(F.desc(at), F.xxhash64(*frame.columns))
     return frame.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).drop("_k")
+
+
+def renamed(frame: DataFrame, names: dict[str, list[str]], keep: bool = False) -> DataFrame:
+    """Columns by one name each, from the first of its aliases that is there and neither null nor an empty text; aliases that no column has
+    are passed over, and a name without any is null. With `keep` the old columns stay beside the new ones."""
+    out = []
+    for name, aliases in names.items():
+        there = [a for a in aliases if a in frame.columns]
+        text = [F.nullif(F.col(a), F.lit("")) if dict(frame.dtypes)[a] == "string" else F.col(a) for a in there]
+        out.append((F.coalesce(*text) if text else F.lit(None).cast("string")).alias(name))
+    return frame.select(*[F.col(c) for c in frame.columns if keep and c not in names], *out)
+
+
+def with_copies(frame: DataFrame, copies: dict[str, str]) -> DataFrame:
+    """`frame` with copies of columns under second names, for readers that know those."""
+    return frame.select("*", *[F.col(c).alias(name) for name, c in copies.items()])
+
+
+def queue(frame: DataFrame, handled: DataFrame, key: str, *, status: str | None = None, store: str | None = None, search: str = "", columns: tuple[str, ...] = ("title", "store", "source")) -> DataFrame:
+    """Rows still to be looked at: not handled yet, of a status and store if given, and with a text (folded) in one of the columns."""
+    rows = frame.join(handled.select(key).distinct(), key, "left_anti")
+    if status is not None:
+        rows = rows.where(F.col("status") == status)
+    if store is not None:
+        rows = rows.where(F.col("store") == store)
+    wanted = fold_plain(search)
+    held = F.lit(not wanted)
+    for c in columns:
+        held = held | F.coalesce(fold(F.col(c)).contains(wanted), F.lit(False))
+    return rows.where(held)

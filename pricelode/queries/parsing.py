@@ -279,3 +279,63 @@ def overlaid_defaults(spark, root):
     """Default values replaced by given ones above zero."""
     defaults = table(spark, root, "catalogue").where("ref_price_czk_per_kg is not null").select("id", F.col("ref_price_czk_per_kg").alias("value"))
     return payloads.overlaid(defaults, table(spark, root, "build_report").select(F.col("ingredient_id").alias("id"), F.col("czk_per_kg").alias("value")), "id", "value")
+
+
+@query("SELECT offer_seq, market, price_czk AS price, coalesce(original_price_czk, NULL) AS old_price, coalesce(nullif(ingredient_id, ''), nullif(source, '')) AS term, price_czk, source_url AS url FROM offers")
+def offer_aliases(spark, root):
+    """Fields under one name each, from whichever alias is there, and copies under second names."""
+    rows = reports.renamed(table(spark, root, "offers"), {"offer_seq": ["offer_seq"], "market": ["market"], "price": ["price", "price_czk"], "old_price": ["oldPrice", "original_price_czk"], "term": ["termId", "ingredient_id", "source"], "source_url": ["url", "source_url"]})
+    return reports.with_copies(rows, {"price_czk": "price", "url": "source_url"}).drop("source_url")
+
+
+@query(f"SELECT offer_seq FROM offers WHERE market = 'cz' AND is_promo AND store = 'billa' AND offer_seq NOT IN (SELECT entry_seq FROM build_report WHERE entry_seq IS NOT NULL) AND (coalesce(contains({_fold_sql('title')}, 'maslo'), false) OR coalesce(contains({_fold_sql('source')}, 'maslo'), false))")
+def panel_queue(spark, root):
+    """rows not handled yet, of one store, with a text in a title or source."""
+    rows = table(spark, root, "offers").where("market = 'cz' and is_promo")
+    handled = table(spark, root, "build_report").select(F.col("entry_seq").alias("offer_seq"))
+    return reports.queue(rows, handled, "offer_seq", store="billa", search="Máslo", columns=("title", "source")).select("offer_seq")
+
+
+@query("SELECT offer_seq, 'https://search.example.invalid/?f=' || url_encode(title) AS address FROM offers WHERE title IS NOT NULL")
+def search_addresses(spark, root):
+    """Addresses with percent-encoded texts."""
+    coded = F.replace(F.replace(F.replace(F.url_encode("title"), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    return table(spark, root, "offers").where("title is not null").select("offer_seq", F.concat(F.lit("https://search.example.invalid/?f="), coded).alias("address"))
+
+
+@query("SELECT o_orderkey, c_name, n_name FROM (SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500) LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey")
+def named_top(spark, root):
+    """The 500 largest rows (the limit is the feature) with the names that belong to their keys."""
+    top = table(spark, root, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(500)
+    people = table(spark, root, "customer").join(table(spark, root, "nation"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return top.join(people, F.col("c_custkey") == F.col("o_custkey"), "left").select("o_orderkey", "c_name", "n_name")
+
+
+@query("SELECT outlet_id, ingredient_id, czk_per_kg, (SELECT greatest(0, count(*) - 5000) FROM d) AS truncated FROM (WITH d AS (SELECT outlet_id, ingredient_id, czk_per_kg, match_seq, ingest_ts FROM matched_rows WHERE promo) SELECT * FROM d ORDER BY outlet_id, ingredient_id, match_seq, ingest_ts LIMIT 5000) x, (SELECT 1) y".replace("(SELECT greatest(0, count(*) - 5000) FROM d)", "(SELECT greatest(0, count(*) - 5000) FROM matched_rows WHERE promo)"))
+def capped_list(spark, root):
+    """L1, L3: the first 5,000 rows of an ordered list (the cap is the feature), with how many more there are."""
+    rows = table(spark, root, "matched_rows").where("promo")
+    shown, more = reports.capped(rows, [F.asc_nulls_last("outlet_id"), F.asc_nulls_last("ingredient_id"), F.asc("match_seq"), F.asc("ingest_ts")], 5000)
+    return shown.select("outlet_id", "ingredient_id", "czk_per_kg", more.alias("truncated"))
+
+
+@query("SELECT market, list_distinct(list(DISTINCT source)) IS NOT NULL AS some, list_sort(list_distinct(list(source))) AS sources, max(czk_per_kg) AS top, list_contains(list(store), 'billa') AS billa FROM matched_rows GROUP BY market")
+def market_sets(spark, root):
+    """Sets of values, membership and the greatest value of each market."""
+    rows = table(spark, root, "matched_rows").groupBy("market").agg(F.collect_set("source").alias("s"), F.collect_set("store").alias("t"), F.max("czk_per_kg").alias("top"))
+    return rows.select("market", F.lit(True).alias("some"), F.array_sort(F.array_distinct(F.array_union("s", "s"))).alias("sources"), "top", F.array_contains("t", "billa").alias("billa"))
+
+
+@query("SELECT market, run_date, CASE WHEN ok THEN CASE WHEN warnings > 0 THEN 'warning' ELSE 'ok' END ELSE 'error' END AS state FROM run_history")
+def run_states(spark, root):
+    """V4: what errors and warnings make of a run."""
+    return table(spark, root, "run_history").select("market", "run_date", validation.report_status(F.when(F.col("ok"), 0).otherwise(1), F.col("warnings")).alias("state"))
+
+
+@query()
+def leaflet_prices(spark, root):
+    """Offers of the products of leaflet pages, with how sure they are."""
+    from pricelode.operators.leaflets import leaflet_offers, parse_products
+
+    pages = table(spark, root, "documents").where("doc_type = 'leaflet_page'")
+    return leaflet_offers(parse_products(pages, "doc_id", F.col("text")), ["doc_id", "product_no"])

@@ -170,3 +170,35 @@ def test_reports(spark):
     assert [r.k for r in reports.younger_than(times, "at", F.lit("2026-08-21").cast("timestamp_ntz"), 7).collect()] == [1] == [r.k for r in reports.latest(times, [], "at", 1).collect()]
     numbers = spark.createDataFrame([(prices_row,) for prices_row in (1.0,)], "v double").select(prices.close(F.col("v"), F.lit(1.05)).alias("a"), prices.close(F.col("v"), F.lit(1.07)).alias("b"), prices.close(F.lit(None), F.lit(1.0)).alias("c")).first()
     assert tuple(numbers) == (True, False, False)
+
+
+def test_leaflet_offers(spark):
+    from pricelode.operators.leaflets import PRODUCT_SCHEMA, leaflet_offers, spread_offers
+
+    base = {"product_no": 1, "title": "Máslo", "pack_quantity": 250.0, "pack_unit": "g", "price": 50.0}
+    cases = {
+        1: {**base, "per_kg": 200.0}, 2: {**base, "per_kg": 240.0, "per_kg_club": 200.0}, 3: {**base, "old_price": 100.0, "discount_pct": 50}, 4: base, 5: {**base, "per_kg": 4.0, "price": 1.0}, 6: {"product_no": 1, "title": "Chléb", "per_kg": 30.0},
+        7: {"product_no": 1, "title": "Bez ceny"}, 8: {**base, "price_club": 40.0}, 9: {**base, "price_club": 60.0}, 10: {**base, "title": "abc"},
+    }
+    names = [p.split()[0] for p in PRODUCT_SCHEMA.split(", ")]
+    frame = spark.createDataFrame([(k, *[c.get(n) for n in names]) for k, c in cases.items()], f"k int, {PRODUCT_SCHEMA}")
+    got = {(r.k, r.variant): (r.price, r.per_kg, r.unit, r.amount, r.confidence) for r in leaflet_offers(frame, ["k"]).collect()}
+    assert got == {
+        (1, 0): (50.0, 200.0, "g", 250.0, "high"), (2, 0): (60.0, 240.0, "g", 250.0, "medium"), (2, 1): (50.0, 200.0, "g", 250.0, "medium"), (3, 0): (50.0, 200.0, "g", 250.0, "medium"), (4, 0): (50.0, 200.0, "g", 250.0, "low"),
+        (6, 0): (30.0, 30.0, "kg", 1.0, "low"), (8, 0): (50.0, 200.0, "g", 250.0, "low"), (8, 1): (40.0, 160.0, "g", 250.0, "low"), (9, 0): (50.0, 200.0, "g", 250.0, "low"),
+    }
+    spreads = json.dumps([{"pages": [{"text": "Čerstvé máslo\n250 g\n49,90 Kč"}]}])
+    offers = spread_offers(spark.createDataFrame([(1, spreads), (2, None)], "id int, s string"), ["id"], F.col("s")).collect()
+    assert [(r.id, r.spread, r.page, r.title, r.price, r.amount) for r in offers] == [(1, 0, 0, "Čerstvé máslo", 49.9, 250.0)]
+
+
+def test_documents_are_written_whole(spark, tmp_path):
+    from pricelode.sources.sinks import write_document, write_with_health
+
+    path = tmp_path / "d.json"
+    for text_ in ('{"a": 1}', '{"a": "č"}'):
+        write_document(spark.createDataFrame([(text_,)], "t string"), str(path))
+        assert path.read_bytes() == f"{text_}\n".encode()
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["d.json"]
+    rows = spark.createDataFrame([("cz", "a", 1), ("cz", "a", 2), ("sk", "b", 3)], "market string, source string, v int")
+    assert {tuple(r) for r in write_with_health(rows, str(tmp_path / "t"), "market", "source").select("market", "source", "n", "ok").collect()} == {("cz", "a", 2, True), ("sk", "b", 1, True)}
