@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import pyarrow as pa
 import regex
@@ -169,11 +169,13 @@ def learned_wordings(labelled: DataFrame, title: str, market: str, item: str, kn
     language = F.create_map(*[F.lit(x) for pair in LANGUAGES.items() for x in pair])
     rows = labelled.select(F.try_element_at(language, F.col(market)).alias("language"), F.col(item).alias("item"), _words(F.col(title)).alias("words")).where("language is not null and item is not null")
     rows = rows.withColumn("words", F.filter("words", lambda w: ~w.isin("x", *FAT_WORDS, *_SPELLED)))
-    sorted_known = known.select("language", "item", F.array_join(F.array_sort(F.split("wording", " ")), " ").alias("run"), F.size(F.split("wording", " ")).alias("n"))
-    longest = sorted_known.agg(F.max("n")).first()[0] or 1  # one number
-    own = sorted_known.groupBy("language", "item").agg(F.collect_set("run").alias("known"))
-    placed = rows.join(own, ["language", "item"], "left").withColumn("runs", _runs(F.col("words"), longest)).withColumn("told", F.coalesce(F.arrays_overlap("runs", "known"), F.lit(False)))
-    counts = placed.select("language", "item", "told", F.explode(F.when(F.col("told"), F.array_append(F.array_distinct("words"), F.lit(""))).otherwise(F.array_append("runs", F.lit("")))).alias("run")).groupBy("language", "item", "told", "run").agg(F.count("*").alias("n"))
+    longest = known.agg(F.max(F.size(F.split("wording", " ")))).first()[0] or 1  # one number
+    own = known.groupBy("language", "item").agg(F.collect_set(F.split("wording", " ")).alias("known"))
+    told = F.coalesce(F.exists("known", lambda k: F.size(F.array_except(k, "words")) == 0), F.lit(False))
+    placed = rows.join(own, ["language", "item"], "left").withColumn("told", told)
+    # Only titles without a known wording are cut into runs.
+    parts = F.when(F.col("told"), F.array_distinct("words")).otherwise(_runs(F.col("words"), longest))
+    counts = placed.select("language", "item", "told", F.explode(F.array_append(parts, F.lit(""))).alias("run")).groupBy("language", "item", "told", "run").agg(F.count("*").alias("n"))
     counts = checkpointed(counts)
     totals = counts.where("run = ''").select("language", "item", "told", F.col("n").alias("total"))
     often = counts.where("run <> ''").join(totals, ["language", "item", "told"]).where(F.col("n") - 2 * F.sqrt("n") >= LEARN_SHARE * F.col("total"))
@@ -185,12 +187,13 @@ def learned_wordings(labelled: DataFrame, title: str, market: str, item: str, kn
     return fresh, often.where("told").select("language", F.col("run").alias("wording"), "item")
 
 
-def wording_list(wordings: DataFrame) -> list[tuple[str, str, str]]:
-    """The rows of a wording table, for the tasks; raises beyond WORDINGS rows, as a list of unknown size must not leave the cluster."""
-    rows = wordings.select("language", "wording", "item").limit(WORDINGS + 1).collect()
+def wording_lists(*tables: DataFrame) -> list[list[tuple[str, str, str]]]:
+    """The rows of wording tables, for the tasks; raises beyond WORDINGS rows, as a list of unknown size must not leave the cluster."""
+    tagged = [t.select(F.lit(i).alias("i"), "language", "wording", "item") for i, t in enumerate(tables)]
+    rows = reduce(DataFrame.unionByName, tagged).limit(WORDINGS + 1).collect()
     if len(rows) > WORDINGS:
         raise ValueError(f"more than {WORDINGS} wordings")
-    return sorted(tuple(r) for r in rows)
+    return [sorted(tuple(r)[1:] for r in rows if r.i == i) for i in range(len(tables))]
 
 
 PARTS = "id {kind}, market string, language string, item string, size string, fat string, code string, parts string, words array<string>"

@@ -153,7 +153,7 @@ QUERIES |= {"p10_found": p10_found, "p10_cover": p10_cover}
 def _grouped(spark: SparkSession, root: str) -> DataFrame:
     known = products.catalogue_wordings(table(spark, root, "catalogue"))
     learned, beside = products.learned_wordings(table(spark, root, "offers"), "title", "market", "ingredient_id", known)
-    wordings, adjectives = products.wording_list(known.unionByName(learned)), products.wording_list(beside)
+    wordings, adjectives = products.wording_lists(known.unionByName(learned), beside)
     return products.group_listings(table(spark, root, "listings"), "listing_id", wordings, adjectives)
 
 
