@@ -27,6 +27,8 @@ CLOSERS = "".join(sorted(set("".join(PAIRS.values())) | set("'’")))
 #: The classifier is fitted on at most so many distinct contexts with a reliable label, and has so many hashed weights.
 SAMPLE = 150_000
 WEIGHTS = 1 << 18
+#: Distinct contexts that a task counts together before it passes them on.
+HELD = 100_000
 #: A token counts as standing before marks, or before another token, when so many other characters at most lie between.
 REACH = 40
 #: Occurrences from which a token that never stands at a block's end (start) is taken for one that never ends (starts) a sentence.
@@ -363,8 +365,15 @@ FIELDS = ", ".join(f"{name} string" for name in Context._fields)
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of contexts of candidates (kind `inside`) and of pairs of a block's end and the next block's start (kind `between`)."""
+    counts: Counter[tuple] = Counter()
+
+    def flush() -> pa.RecordBatch:
+        columns = zip(*counts)
+        out = pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns], pa.array(counts.values(), pa.int64())], ["kind", *Context._fields, "n"])
+        counts.clear()
+        return out
+
     for batch in batches:
-        counts: Counter[tuple] = Counter()
         for text in batch.column(0).to_pylist():
             if not text:
                 continue
@@ -380,9 +389,10 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     after, shape, following, opened = _first_token(text, block.start, block.end)
                     counts["between", *last._replace(after=after, after_shape=shape, after_next=following, opened=opened, cased=cased)] += 1
                 last = end
-        keys = list(counts)
-        if keys:
-            yield pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in keys], pa.string()) for i in range(len(keys[0]))], pa.array([counts[k] for k in keys], pa.int64())], ["kind", *Context._fields, "n"])
+            if len(counts) >= HELD:
+                yield flush()
+    if counts:
+        yield flush()
 
 
 def _labelled(contexts: DataFrame) -> DataFrame:
