@@ -161,3 +161,16 @@ def error_kind(code: Column, status: Column, message: Column) -> Column:
         .when((status == 404) | (code == "42P01") | low.rlike("not found|does not exist"), "missing").when((status == 409) | (code == "23505"), "conflict")
         .when(status == 429, "rate").when(status == 413, "size").when(status >= 500, "server").otherwise("other")
     )
+
+
+def plain_html(html: Column) -> Column:
+    """The text of a piece of HTML: tags out, the usual entities resolved, white space collapsed."""
+    out = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
+    for entity, c in (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("amp", "&")):
+        out = F.replace(out, F.lit(f"&{entity};"), F.lit(c))
+    return collapse(out)
+
+
+def counted(n: Column, one: str, few: str, many: str) -> Column:
+    """A number with the word for it: one, two to four, or more (and none)."""
+    return F.concat_ws(" ", n.cast("string"), F.when(n == 1, one).when(n.between(2, 4), few).otherwise(many))

@@ -339,3 +339,35 @@ def leaflet_prices(spark, root):
 
     pages = table(spark, root, "documents").where("doc_type = 'leaflet_page'")
     return leaflet_offers(parse_products(pages, "doc_id", F.col("text")), ["doc_id", "product_no"])
+
+
+_HINTS = [("pet|garden", []), ("meat|ham", ["meat", "poultry"]), ("dairy|milk", ["dairy", "egg"]), ("frozen", None), ("veg", ["vegetable", "herb"]), ("table", ["legume"])]
+
+
+@query("SELECT result_id, CASE WHEN regexp_matches(c, 'pet|garden') THEN [''] WHEN len(a) > 0 THEN a END AS allowed FROM (SELECT DISTINCT result_id, lower(category) AS c FROM penny_results WHERE category IS NOT NULL), LATERAL (SELECT list_filter([CASE WHEN regexp_matches(c, 'meat|ham') THEN 'meat' END, CASE WHEN regexp_matches(c, 'meat|ham') THEN 'poultry' END, CASE WHEN regexp_matches(c, 'dairy|milk') THEN 'dairy' END, CASE WHEN regexp_matches(c, 'dairy|milk') THEN 'egg' END, CASE WHEN regexp_matches(c, 'veg') THEN 'vegetable' END, CASE WHEN regexp_matches(c, 'veg') THEN 'herb' END, CASE WHEN regexp_matches(c, 'table') THEN 'legume' END], lambda x: x IS NOT NULL) AS a)")
+def hint_categories(spark, root):
+    """The categories that ordered rules allow for a source's category."""
+    rows = table(spark, root, "penny_results").where("category is not null").select("result_id", matching.category_hint(F.col("category"), _HINTS).alias("allowed"))
+    return rows.distinct()
+
+
+@query("SELECT outlet_id, n || ' ' || CASE WHEN n = 1 THEN 'cena' WHEN n BETWEEN 2 AND 4 THEN 'ceny' ELSE 'cen' END AS shown FROM (SELECT outlet_id, count(DISTINCT ingredient_id) AS n FROM build_report GROUP BY ALL)")
+def counted_prices(spark, root):
+    """Numbers with the form of the word that goes with them."""
+    counts = table(spark, root, "build_report").groupBy("outlet_id").agg(F.count_distinct("ingredient_id").alias("n"))
+    return counts.select("outlet_id", text.counted(F.col("n"), "cena", "ceny", "cen").alias("shown"))
+
+
+@query("SELECT doc_id, trim(regexp_replace('<b>' || replace(doc, '  ', ' '), '[\\s\\p{Z}]+', ' ', 'g'))[4:] AS plain FROM (SELECT doc_id, lang || ' ' || source AS doc FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL)")
+def html_text(spark, root):
+    """The text of pieces of HTML."""
+    html = F.concat(F.lit("<p class='x'>"), F.col("lang"), F.lit("&nbsp;\n <br/>"), F.col("source"), F.lit("</p> "))
+    return table(spark, root, "documents").where("lang is not null and source is not null").select("doc_id", text.plain_html(html).alias("plain"))
+
+
+@query("SELECT s.store, count(DISTINCT source) AS sources, count(DISTINCT source) = 0 AS not_fetched FROM (SELECT unnest(['billa', 'lidl', 'albert', 'globus', 'unknown']) AS store) s LEFT JOIN offers o ON o.store = s.store GROUP BY ALL")
+def store_sources(spark, root):
+    """Stores of a list with how many sources fetch them, and those that none does."""
+    stores = spark.createDataFrame([(s,) for s in ("billa", "lidl", "albert", "globus", "unknown")], "store string")
+    counts = table(spark, root, "offers").groupBy("store").agg(F.count_distinct("source").alias("sources"))
+    return stores.join(counts, "store", "left").select("store", F.coalesce("sources", F.lit(0)).alias("sources"), F.col("sources").isNull().alias("not_fetched"))
