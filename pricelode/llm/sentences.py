@@ -324,77 +324,134 @@ class Classifier:
         return Classifier(weights.astype(np.float32), float(bias))
 
 
-def units(text: str | None, classifier: Classifier) -> list[tuple[int, int]]:
-    """(start, end) of the sentence units of a text, in code points."""
-    if not text or not text.strip():
-        return []
-    cased = _writing(text)
-    found: list[tuple[int, list[int], list[tuple[int, int]], Block]] = []
-    every: list[Context] = []
-    own_blocks = blocks(text)
+class Atoms(NamedTuple):
+    """The parts of a text between all places where a unit may end: their ends without white space, and what is known of each end."""
+
+    starts: list[int]
+    stops: list[int]
+    ends: list[Context | None]  # None: a unit ends here in any case
+
+
+def atoms(text: str, own_blocks: list[Block], cased: str) -> Atoms:
+    """The atoms of a text, in order. Each block's last one ends a unit, and so do Thai spaces outside quotations."""
+    starts: list[int] = []
+    stops: list[int] = []
+    ends: list[Context | None] = []
     for block in own_blocks:
-        places, contexts, spans = [], [], []
+        cuts: dict[int, Context | None] = {}
         if not block.single:
             spans = enclosed(text, block.start, block.end)
-            for at, context in candidates(text, block, cased, spans):
-                places.append(at)
-                contexts.append(context)
-        found.append((len(every), places, spans, block))
-        every += contexts
-    verdict = classifier.says(every) if every else []
-    out: list[tuple[int, int]] = []
-    for first, places, quotes, block in found:
-        cuts = [at for at, yes in zip(places, verdict[first:first + len(places)]) if yes]
-        if not block.single:
-            cuts += [m.start() for m in _THAI.finditer(text, block.start, block.end) if not any(a < m.start() <= b for a, b in quotes)]
+            cuts = dict(candidates(text, block, cased, spans))
+            for m in _THAI.finditer(text, block.start, block.end):
+                if not any(a < m.start() <= b for a, b in spans):
+                    cuts[m.start()] = None
         start = block.start
-        for cut in [*sorted(set(cuts)), block.end]:
+        for cut in [*sorted(cuts), block.end]:
             while start < cut and text[start].isspace():
                 start += 1
             stop = cut
             while stop > start and text[stop - 1].isspace():
                 stop -= 1
             if stop > start:
-                out.append((start, stop))
+                starts.append(start)
+                stops.append(stop)
+                ends.append(None if cut == block.end else cuts[cut])
+            elif starts and cut < block.end and cuts[cut] is None:
+                ends[-1] = None
             start = cut
+        if starts:
+            ends[-1] = None
+    return Atoms(starts, stops, ends)
+
+
+def units(text: str | None, classifier: Classifier) -> list[tuple[int, int]]:
+    """(start, end) of the sentence units of a text, in code points."""
+    if not text or not text.strip():
+        return []
+    own = atoms(text, blocks(text), _writing(text))
+    asked = [c for c in own.ends if c is not None]
+    verdicts = iter(classifier.says(asked) if asked else [])
+    out: list[tuple[int, int]] = []
+    start = -1
+    for a, b, end in zip(*own):
+        start = a if start < 0 else start
+        if end is None or next(verdicts):
+            out.append((start, b))
+            start = -1
     return out
 
 
 FIELDS = ", ".join(f"{name} string" for name in Context._fields)
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of contexts of candidates (kind `inside`) and of pairs of a block's end and the next block's start (kind `between`)."""
+def _observe(text: str, counts: Counter) -> Atoms:
+    """The atoms of a text; counts contexts of candidates (kind `inside`) and of pairs of a block's end and the next block's start (kind `between`)."""
+    cased, own_blocks = _writing(text), blocks(text)
+    own = atoms(text, own_blocks, cased)
+    counts.update(("inside", *c) for c in own.ends if c is not None)
+    last: Context | None = None
+    for block in own_blocks:
+        if block.single:
+            last = None
+            continue
+        end = ended(text, block)
+        if last is not None and end is not None:
+            after, shape, following, opened = _first_token(text, block.start, block.end)
+            counts["between", *last._replace(after=after, after_shape=shape, after_next=following, opened=opened, cased=cased)] += 1
+        last = end
+    return own
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of two sorts: each text's atoms with the hashed features of their ends, and counts of contexts (with a kind)."""
     counts: Counter[tuple] = Counter()
+    known: dict[Context, list[int]] = {}
+    ints, flags = pa.list_(pa.int32()), pa.list_(pa.bool_())
+    names = ["id", "starts", "stops", "forced", "features", "kind", *Context._fields, "n"]
+    kind: pa.DataType | None = None
 
     def flush() -> pa.RecordBatch:
-        columns = zip(*counts)
-        out = pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns], pa.array(counts.values(), pa.int64())], ["kind", *Context._fields, "n"])
+        n = len(counts)
+        out = pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.nulls(n, ints), pa.nulls(n, ints), pa.nulls(n, flags), pa.nulls(n, ints), *[pa.array(c, pa.string()) for c in zip(*counts)], pa.array(counts.values(), pa.int64())], names)
         counts.clear()
         return out
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if not text:
-                continue
-            cased = _writing(text)
-            last: Context | None = None
-            for block in blocks(text):
-                if block.single:
-                    last = None
-                    continue
-                counts.update(("inside", *c) for _, c in candidates(text, block, cased, enclosed(text, block.start, block.end)))
-                end = ended(text, block)
-                if last is not None and end is not None:
-                    after, shape, following, opened = _first_token(text, block.start, block.end)
-                    counts["between", *last._replace(after=after, after_shape=shape, after_next=following, opened=opened, cased=cased)] += 1
-                last = end
+        kind = batch.column(0).type
+        for at in range(0, batch.num_rows, 2_000):
+            part = batch.slice(at, 2_000)
+            read = [(i, _observe(t, counts)) for i, t in enumerate(part.column(1).to_pylist()) if t and t.strip()]
+            new = list({c for _, own in read for c in own.ends if c is not None and c not in known})
+            if len(known) + len(new) > 300_000:
+                known.clear()
+                new = list({c for _, own in read for c in own.ends if c is not None})
+            known.update(zip(new, _hashed(new).tolist()))
+            n = len(read)
+            yield pa.RecordBatch.from_arrays([
+                part.column(0).take(pa.array([i for i, _ in read], pa.int64())), pa.array([own.starts for _, own in read], ints), pa.array([own.stops for _, own in read], ints),
+                pa.array([[c is None for c in own.ends] for _, own in read], flags), pa.array([[f for c in own.ends if c is not None for f in known[c]] for _, own in read], ints),
+                *[pa.nulls(n, pa.string())] * (1 + len(Context._fields)), pa.nulls(n, pa.int64())], names)
             if len(counts) >= HELD:
                 yield flush()
     if counts:
         yield flush()
 
 
+def _decide_batches(weights: np.ndarray, bias: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units out of atoms: the classifier's word on all their ends at once."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts, stops, forced, features = (batch.column(i) for i in range(1, 5))
+        rows = np.repeat(np.arange(batch.num_rows), np.diff(starts.offsets.to_numpy()))
+        a, b, ends = starts.flatten().to_numpy(), stops.flatten().to_numpy(), forced.flatten().to_numpy(zero_copy_only=False).copy()
+        if not ends.all():
+            ends[~ends] = weights[features.flatten().to_numpy().reshape(np.count_nonzero(~ends), -1)].sum(axis=1) + bias > 0
+        last = np.flatnonzero(ends)  # a text's last atom is one of them
+        first = np.r_[0, last[:-1] + 1] if len(last) else last
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows[last])), pa.array(a[first].astype(np.int64)), pa.array(b[last].astype(np.int64))], ["id", "sent_start", "sent_end"])
+
+
 def _labelled(contexts: DataFrame) -> DataFrame:
     """Contexts with a reliable label, from where tokens stand in all of the corpus.
 
@@ -423,14 +480,19 @@ def _labelled(contexts: DataFrame) -> DataFrame:
     return joined.withColumn("label", label).where("label is not null").select(*Context._fields, "label", "n")
 
 
-def train(frame: DataFrame, text: Column, sample: int = SAMPLE) -> Classifier:
-    """A classifier fitted to the reliable boundaries of the texts.
+def _scanned(frame: DataFrame, row: str, text: Column) -> DataFrame:
+    kind = dict(frame.dtypes)[row]
+    given = frame.select(F.col(row).alias("id"), text.alias("text"))
+    return checkpointed(spread(given).mapInArrow(_scan, f"id {kind}, starts array<int>, stops array<int>, forced array<boolean>, features array<int>, kind string, {FIELDS}, n bigint"))
+
 
-    All texts are read and all contexts counted; the fit takes at most `sample` distinct labelled contexts, those of the
-    least hashes, which keeps what reaches the driver within a fixed bound.
+def fit(scanned: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """A classifier fitted to the reliable boundaries among the contexts of scanned texts.
+
+    All contexts are counted; the fit takes at most `sample` distinct labelled ones, those of the least hashes, which keeps what
+    reaches the driver within a fixed bound.
     """
-    given = frame.select(text.alias("text")).where("text is not null")
-    contexts = checkpointed(spread(given).mapInArrow(_gather, f"kind string, {FIELDS}, n bigint").groupBy("kind", *Context._fields).agg(F.sum("n").alias("n")))
+    contexts = checkpointed(scanned.where("kind is not null").groupBy("kind", *Context._fields).agg(F.sum("n").alias("n")))
     keyed = _labelled(contexts).select(*Context._fields, F.xxhash64(*Context._fields, "label").alias("h"), "label", "n")
     hashed = keyed.mapInArrow(_hash_batches, "h bigint, label double, n bigint, f array<int>")
     chosen = hashed.orderBy("h", "f", "label", "n").limit(sample).toArrow()
@@ -438,6 +500,12 @@ def train(frame: DataFrame, text: Column, sample: int = SAMPLE) -> Classifier:
     return Classifier.fit(rows.values.to_numpy().reshape(len(rows), -1) if len(rows) else np.zeros((0, 0), np.int32), chosen.column("label").to_numpy(), chosen.column("n").to_numpy().astype(float))
 
 
+def train(frame: DataFrame, text: Column, sample: int = SAMPLE) -> Classifier:
+    """A classifier fitted to the reliable boundaries of the texts, all of which are read; it may be given to sentence_units."""
+    numbered = frame.select(text.alias("text")).where("text is not null").withColumn("id", F.lit(0))
+    return fit(_scanned(numbered, "id", F.col("text")), sample)
+
+
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts to rows of hashed features, so that what reaches the driver is a few numbers a row."""
     width = len(Context._fields)
@@ -448,18 +516,6 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([batch.column(width), batch.column(width + 1), batch.column(width + 2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))], ["h", "label", "n", "f"])
 
 
-def _split_batches(weights: np.ndarray, bias: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    classifier = Classifier(weights, bias)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2_000):
-            part = batch.slice(at, 2_000)
-            found = [units(t, classifier) for t in part.column(1).to_pylist()]
-            counts = np.array([len(f) for f in found])
-            rows = np.repeat(np.arange(len(found)), counts)
-            flat = np.array([u for f in found for u in f], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["id", "sent_start", "sent_end"])
-
-
 def sentence_units(frame: DataFrame, row: str, text: Column, classifier: Classifier | None = None) -> DataFrame:
     """The row id, sent_start, sent_end (BIGINT, code points from 0, the end excluded) of every sentence unit of every text.
 
@@ -468,11 +524,12 @@ def sentence_units(frame: DataFrame, row: str, text: Column, classifier: Classif
     decides, by default one trained on the same texts. Null, empty and blank texts have no units; whole texts are
     processed; repeated rows give repeated results; other columns are ignored; an empty table gives an empty result.
 
-    Texts are read twice, once to count contexts and once to split; only counts are shuffled, and only the classifier's
-    weights, of a fixed size, go to the tasks.
+    Texts are read once: their atoms, with the hashed features of each end, are written beside the counts of contexts; the
+    classifier then decides on whole batches of ends. Only counts are shuffled, and only the classifier's weights, of a fixed
+    size, go to the tasks.
     """
-    own = classifier or train(frame, text)
+    scanned = _scanned(frame, row, text)
+    own = classifier or fit(scanned)
     kind = dict(frame.dtypes)[row]
-    given = frame.select(F.col(row).alias("id"), text.alias("text"))
-    found = spread(given).mapInArrow(partial(_split_batches, own.weights, own.bias), f"id {kind}, sent_start bigint, sent_end bigint")
+    found = scanned.where("kind is null").select("id", "starts", "stops", "forced", "features").mapInArrow(partial(_decide_batches, own.weights, own.bias), f"id {kind}, sent_start bigint, sent_end bigint")
     return found.select(F.col("id").alias(row), "sent_start", "sent_end")
