@@ -425,7 +425,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(known) + len(new) > 300_000:
                 known.clear()
                 new = list({c for _, own in read for c in own.ends if c is not None})
-            known.update(zip(new, _hashed(new).tolist()))
+            if new:
+                known.update(zip(new, _hashed(new).tolist()))
             n = len(read)
             yield pa.RecordBatch.from_arrays([
                 part.column(0).take(pa.array([i for i, _ in read], pa.int64())), pa.array([own.starts for _, own in read], ints), pa.array([own.stops for _, own in read], ints),
