@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelode.functions import text as T
@@ -157,3 +157,9 @@ def with_prior(ranked: DataFrame, priors: DataFrame) -> DataFrame:
     joined = best.join(own, "row", "left")
     takes = F.coalesce(F.col("own_score") >= F.col("best_score") - PRIOR_MARGIN, F.lit(False))
     return joined.select("row", F.when(takes, F.col("own_item")).otherwise(F.col("best_item")).alias("item"), F.when(takes, F.greatest("own_score", F.lit(PRIOR_SCORE))).otherwise(F.col("best_score")).alias("score"))
+
+
+def explain_title(spark: SparkSession, title: str, names: DataFrame, language: str = "cs", **parts: list[str]) -> DataFrame:
+    """score_titles of one title: what it may mean, and by which name; `parts` as for title_parts."""
+    one = spark.createDataFrame([(0, title)], "row int, title string").select("row", title_parts(F.col("title"), language, **parts).alias("p"))
+    return score_titles(one.select("row", "p.stems", "p.n_raw", "p.percents", F.lit(None).cast("array<string>").alias("allowed")), names)

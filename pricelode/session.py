@@ -50,7 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     not read what others wrote to a folder of their own machine, so that raises.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    set_before = context._jsc.sc().getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or (set_before.get() if set_before.isDefined() else None)
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

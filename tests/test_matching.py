@@ -105,3 +105,9 @@ def test_category_hints(spark):
     rules = [("zahrad", []), ("maso", ["meat", "poultry"]), ("mraz", None), ("drubez", ["poultry"])]
     rows = spark.createDataFrame([("Maso a drůbež",), ("Zahrada, maso",), ("mražené",), ("",), (None,)], "t string")
     assert [r.h for r in rows.select(matching.category_hint(F.col("t"), rules).alias("h")).collect()] == [["meat", "poultry"], [""], None, None, None]
+
+
+def test_one_title_is_explained(spark):
+    names = spark.createDataFrame([("maslo", "dairy", 0, "máslo", ["masl"], 1.0), ("mleko", "dairy", 0, "mléko", ["mlek"], 1.0)], "item string, category string, variant int, name string, stems array<string>, weight double")
+    rows = matching.explain_title(spark, "Čerstvé máslo 250 g akce", names, noise=["akce"]).collect()
+    assert [(r.item, r.name, r.place) for r in rows] == [("maslo", "máslo", 1)] and rows[0].score == round((0.45 + 0.55 * math.sqrt(0.5)) * 0.93, 4)
