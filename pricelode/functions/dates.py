@@ -45,7 +45,7 @@ def dotted_day(text: Column) -> Column:
     return F.when(text.rlike(pattern), of_parts(*[F.regexp_extract(text, pattern, i) for i in (3, 2, 1)]))
 
 
-#: Leaflet names such as velky-letak-30-12-5-1-2027: kind, first day and month, last day and month, year.
+# Fixed value: leaflet names such as velky-letak-30-12-5-1-2027: kind, first day and month, last day and month, year.
 SLUG = r"((velky|maly)-letak-(\d{1,2})-(\d{1,2})-(\d{1,2})-(\d{1,2})-(\d{4}))"
 
 

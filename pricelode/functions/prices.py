@@ -19,12 +19,12 @@ EGGS = r"(?iu)(?<![a-z])(vejce|vajec|vajic|vajíčk|vajick|vajcia|vajíčok|vajc
 EGG_KG = 0.055
 CLOSE = 0.06
 
+# The patterns of unit prices ("1 kg = 43 Kč", but not "5 x 50 g = 250 g"; "15,96 Kč / 100 g", "2,49/100 g", where a price has
+# decimals or a currency, so that "125/150 g" is none), of alternative, multiple, single and bare sizes, and of what a price is for.
 _FLAGS = "(?iuU)"
 _NUM = r"(\d+(?:[.,]\d+)?)"
 _UNIT = rf"(kg|g|ml|l|cl|dl|{_PIECE})"
-#: "1 kg = 43 Kč", not "5 x 50 g = 250 g".
 _EQUALS = rf"{_FLAGS}{_NUM}\s*{_UNIT}\s*=\s*(?:od\s*|ab\s*)?{_NUM}(?![\d,.])\s*{_MONEY}?(?!\s*(?:kg|g|ml|l|cl|dl)(?![a-z]))"
-#: "15,96 Kč / 100 g", "2,49/100 g"; a price has decimals or a currency, so that "125/150 g" is none.
 _PER = rf"{_FLAGS}(?:(\d+[.,]\d+)\s*{_MONEY}?|(\d+)\s*{_MONEY})\s*/\s*(\d+(?:[.,]\d+)?)?\s*{_UNIT}(?![a-z])"
 _EITHER = rf"{_FLAGS}{_NUM}(?:/\d+(?:[.,]\d+)?)+\s*(?={_UNIT}(?![a-z]))"
 _MULTI = rf"{_FLAGS}(\d+)\s*[x×]\s*{_NUM}\s*(kg|g|ml|l|cl|dl)(?![a-z])"
